@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def jaro_similarity(a: str, b: str) -> float:
@@ -30,7 +31,7 @@ def jaro_similarity(a: str, b: str) -> float:
     return (m / len(a) + m / len(b) + (m - swaps) / m) / 3.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _jaro_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([1.0 - jaro_similarity(x, y) for x, y in zip(a, b)])
 

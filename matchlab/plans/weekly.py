@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlab.functions.columns import week_floor
 from matchlab.functions.fixed_values import FIXTURE_TEAM_NAMES
@@ -63,16 +64,10 @@ def score_week(week: Week, as_of: Column, pipeline: Pipeline, **scale) -> DataFr
 
 
 def log_predictions(spark: SparkSession, path: str, predictions: DataFrame) -> None:
-    """One row per match: predicting a week again replaces its rows. The log is a few rows a week."""
-    new = cut(predictions)
-    try:
-        log = spark.read.schema(SCHEMAS["prediction_log"]).parquet(path)
-        log.limit(0).count()
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        log = new.limit(0)
-    S.write_table(cut(S.upsert(log, new, KEYS["prediction_log"])), path)
+    """One row per match: predicting a week again replaces its rows. The log is partitioned by season."""
+    schema = T.StructType([*SCHEMAS["prediction_log"].fields, T.StructField("season", T.IntegerType())])
+    new = cut(predictions.withColumn("season", F.year("date")))
+    S.upsert_table(spark, path, schema, new, KEYS["prediction_log"])
 
 
 def append_round(spark: SparkSession, root: str, season: int, round_number: int) -> None:
@@ -93,7 +88,7 @@ def append_round(spark: SparkSession, root: str, season: int, round_number: int)
         wanted = list(dict.fromkeys([*schema.names, "season"]))
         df = df.withColumns({"season": F.lit(season), **({"utc_start": F.to_date("utc_start")} if "utc_start" in df.columns else {})})
         df = first_per_key(df.select(*wanted), KEYS[name], [F.col(c) for c in wanted if c not in KEYS[name]])
-        full = schema if "season" in schema.names else schema.add("season", "int")
+        full = schema if "season" in schema.names else T.StructType([*schema.fields, T.StructField("season", T.IntegerType())])
         typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in full])
         S.upsert_table(spark, f"{root}/{name}", full, typed, KEYS[name])
 

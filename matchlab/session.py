@@ -16,6 +16,7 @@ def local_session(cores: int | str = 8, app: str = "matchlab", **conf: str) -> S
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for name, value in conf.items():
