@@ -137,86 +137,88 @@ def ewma_width(lam: float) -> int:
     return max(2, int(300 / -math.log(lam)))
 
 
-def _weighted(x: Column, idx: Column, lam: float, width: int) -> Column:
-    """x with its weight relative to the start of its block; the first value of a key has weight 1."""
-    share = F.when(idx == 0, F.lit(1.0)).otherwise(F.lit(1.0 - lam))
-    return x * share * F.pow(F.lit(lam), -(idx % width).cast("double"))
+# Wide column lists are written as SQL expressions: one short call per column when the plan is built.
 
 
-def _lagged_state(inside: Column, carry: Column, idx: Column, lam: float, width: int) -> Column:
-    """State before row idx from the sum over earlier rows of its block and over the block before."""
-    j = (idx % width).cast("double")
-    own = F.pow(F.lit(lam), j - 1) * F.coalesce(inside, F.lit(0.0))
-    old = F.pow(F.lit(lam), j + (width - 1)) * F.coalesce(carry, F.lit(0.0))
-    return F.when(idx > 0, own + old)
+def _weights(idx: str, lam: float, width: int) -> list[str]:
+    """Per row: block, weight of a value relative to its block start, and the two factors of the state.
+
+    The first value of a key has weight 1. A state before row idx is _own * (sum of the weighted values
+    earlier in its block) + _old * (sum over the block before); older blocks weigh nothing in a double.
+    """
+    j, lam = f"({idx} % {width})", f"{lam!r}D"
+    return [
+        f"CAST(floor({idx} / {width}) AS BIGINT) AS _blk",
+        f"CASE WHEN {idx} = 0 THEN 1D ELSE 1D - {lam} END * pow({lam}, -{j}) AS _wt",
+        f"pow({lam}, {j} - 1) AS _own",
+        f"pow({lam}, {j} + {width - 1}) AS _old",
+    ]
+
+
+_WEIGHTS = ["_blk", "_wt", "_own", "_old"]
+_BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
+def _names(cols: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in cols)
 
 
 def _ewma_cold(df, key, order, cols, lam, width, nulls):
-    past = Window.unboundedPreceding, -1
+    keys = _names(key)
     w_key = Window.partitionBy(*key).orderBy(*order)
     if nulls == "poison":
         df = df.withColumn("_pos", F.row_number().over(w_key).cast("long") - 1)
-        df = df.withColumn("_blk", F.floor(F.col("_pos") / width))
+        df = df.selectExpr("*", *_weights("_pos", lam, width))
+        df = df.selectExpr("*", *[f"`{c}` * _wt AS `_t_{c}`" for c in cols])
         # Blocks follow the positions, so these three frames share one sort on (key, block, position).
-        w_in = Window.partitionBy(*key, "_blk").orderBy("_pos").rowsBetween(*past)
-        w_before = Window.partitionBy(*key).orderBy("_blk").rangeBetween(-1, -1)
-        w_all = Window.partitionBy(*key).orderBy("_blk", "_pos").rowsBetween(*past)
-        t = {c: _weighted(F.col(c), F.col("_pos"), lam, width) for c in cols}
-        df = df.withColumns({f"_t_{c}": t[c] for c in cols})
-        state = {
-            c: _lagged_state(
-                F.sum(f"_t_{c}").over(w_in), F.sum(f"_t_{c}").over(w_before), F.col("_pos"), lam, width
-            )
+        inside = f"(PARTITION BY {keys}, _blk ORDER BY _pos {_BEFORE})"
+        carry = f"(PARTITION BY {keys} ORDER BY _blk RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING)"
+        gaps = f"(PARTITION BY {keys} ORDER BY _blk, _pos {_BEFORE})"
+        state = [
+            f"CASE WHEN _pos > 0 AND count_if(`{c}` IS NULL) OVER {gaps} = 0 THEN "
+            f"_own * coalesce(sum(`_t_{c}`) OVER {inside}, 0D) + _old * coalesce(sum(`_t_{c}`) OVER {carry}, 0D) "
+            f"END AS `_s_{c}`"
             for c in cols
-        }
-        gaps = {c: F.sum(F.col(c).isNull().cast("int")).over(w_all) for c in cols}
-        df = df.withColumns({f"_s_{c}": F.when(gaps[c] == 0, state[c]) for c in cols})
-        return df.drop("_pos", "_blk", *[f"_t_{c}" for c in cols])
+        ]
+        return df.selectExpr("*", *state).drop("_pos", *_WEIGHTS, *[f"_t_{c}" for c in cols])
     for c in cols:
-        df = df.withColumn("_idx", F.count(c).over(w_key.rowsBetween(*past)))
-        df = df.withColumn("_blk", F.floor(F.col("_idx") / width))
-        df = df.withColumn("_t", _weighted(F.col(c), F.col("_idx"), lam, width))
-        w_in = Window.partitionBy(*key, "_blk").orderBy(*order).rowsBetween(*past)
-        w_before = Window.partitionBy(*key).orderBy("_blk").rangeBetween(-1, -1)
-        state = _lagged_state(
-            F.sum("_t").over(w_in), F.sum("_t").over(w_before), F.col("_idx"), lam, width
-        )
-        df = df.withColumn(f"_s_{c}", state).drop("_idx", "_blk", "_t")
+        df = df.withColumn("_idx", F.count(c).over(w_key.rowsBetween(Window.unboundedPreceding, -1)))
+        df = df.selectExpr("*", *_weights("_idx", lam, width)).withColumn("_t", F.col(c) * F.col("_wt"))
+        inside = Window.partitionBy(*key, "_blk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        before = Window.partitionBy(*key).orderBy("_blk").rangeBetween(-1, -1)
+        df = df.withColumns({"_i": F.sum("_t").over(inside), "_c": F.sum("_t").over(before)})
+        state = f"CASE WHEN _idx > 0 THEN _own * coalesce(_i, 0D) + _old * coalesce(_c, 0D) END AS `_s_{c}`"
+        df = df.selectExpr("*", state).drop("_idx", "_t", "_i", "_c", *_WEIGHTS)
     return df
 
 
 def _block_state(df, key, cols, idx, lam, width):
     """Lagged state in groups (key, idx div width) of at most ``width`` rows."""
     by = [*key, "_blk"]
-    df = df.withColumn("_blk", F.floor(F.col(idx) / width)).withColumns(
-        {f"_t_{c}": _weighted(F.col(c), F.col(idx), lam, width) for c in cols}
-    )
+    df = df.selectExpr("*", *_weights(idx, lam, width))
+    df = df.selectExpr("*", *[f"`{c}` * _wt AS `_t_{c}`" for c in cols])
     sums = df.groupBy(*by).agg(*[F.sum(f"_t_{c}").alias(f"_c_{c}") for c in cols])
     sums = sums.withColumn("_blk", F.col("_blk") + 1)
-    w_in = Window.partitionBy(*by).orderBy(idx).rowsBetween(Window.unboundedPreceding, -1)
-    df = df.withColumns({f"_i_{c}": F.sum(f"_t_{c}").over(w_in) for c in cols})
-    df = null_safe_join(df, sums, by, "left").withColumns(
-        {
-            f"_s_{c}": _lagged_state(F.col(f"_i_{c}"), F.col(f"_c_{c}"), F.col(idx), lam, width)
-            for c in cols
-        }
-    )
-    return df.drop("_blk", *[f"_{p}_{c}" for c in cols for p in "tci"])
+    inside = f"(PARTITION BY {_names(by)} ORDER BY {idx} {_BEFORE})"
+    df = df.selectExpr("*", *[f"sum(`_t_{c}`) OVER {inside} AS `_i_{c}`" for c in cols])
+    state = [
+        f"CASE WHEN {idx} > 0 THEN _own * coalesce(`_i_{c}`, 0D) + _old * coalesce(`_c_{c}`, 0D) END AS `_s_{c}`"
+        for c in cols
+    ]
+    df = null_safe_join(df, sums, by, "left").selectExpr("*", *state)
+    return df.drop(*_WEIGHTS, *[f"_{p}_{c}" for c in cols for p in "tci"])
 
 
 def _ewma_hot(df, key, order, cols, lam, width, nulls):
     rows = _number_hot(df, key, order, "_pos")
     if nulls == "poison":
         first_gap = rows.groupBy(*key).agg(
-            *[F.min(F.when(F.col(c).isNull(), F.col("_pos"))).alias(f"_g_{c}") for c in cols]
+            *[F.expr(f"min(CASE WHEN `{c}` IS NULL THEN _pos END) AS `_g_{c}`") for c in cols]
         )
         rows = null_safe_join(_block_state(rows, key, cols, "_pos", lam, width), first_gap, key, "inner")
-        clean = {
-            c: F.when(F.col(f"_g_{c}").isNull() | (F.col("_pos") <= F.col(f"_g_{c}")), F.col(f"_s_{c}"))
-            for c in cols
-        }
-        rows = rows.withColumns({f"_s_{c}": clean[c] for c in cols})
-        return rows.drop("_pos", *[f"_g_{c}" for c in cols])
+        kept = [c for c in rows.columns if c not in {f"_s_{c}" for c in cols}]
+        clean = [f"CASE WHEN _pos <= coalesce(`_g_{c}`, _pos) THEN `_s_{c}` END AS `_s_{c}`" for c in cols]
+        return rows.select(*kept, *[F.expr(e) for e in clean]).drop("_pos", *[f"_g_{c}" for c in cols])
     by = [*key, "_chunk"]
     rows = rows.withColumn("_chunk", F.floor(F.col("_pos") / CHUNK_ROWS))
     per_chunk = rows.groupBy(*by).agg(*[F.count(c).alias(f"_n_{c}") for c in cols])
@@ -231,8 +233,8 @@ def _ewma_hot(df, key, order, cols, lam, width, nulls):
     rows = rows.withColumns({f"_k_{c}": F.col(f"_k_{c}") + F.col(f"_o_{c}") for c in cols})
     rows = cut(rows.drop("_chunk", *[f"_o_{c}" for c in cols]))
     for c in cols:
-        # One state per non-null value; a row takes the state left by the last value before it. The
-        # row numbered k reads the lagged state of value k, or folds value k-1 when it is the last.
+        # _k counts the values before a row. The state left behind by value number _k - 1 is joined on
+        # that count: at most one partner per row, however many rows share the count.
         known = rows.filter(F.col(c).isNotNull()).select(*key, c, F.col(f"_k_{c}").alias("_idx"))
         after = _block_state(known, key, [c], "_idx", lam, width).select(
             *key,
@@ -265,12 +267,15 @@ def lagged_ewma(
     if nulls not in ("poison", "skip"):
         raise ValueError("nulls must be 'poison' or 'skip'")
     width = ewma_width(lam)
-    df = df.withColumns({c: F.col(c).cast("double") for c in cols})
+    doubles = {c: f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in cols}
+    df = df.selectExpr(*[doubles.get(c, f"`{c}`") for c in df.columns])
     cold, hot = split_hot(df, key, rows_bound, hot_rows)
     if cold is not None:
         cold = _ewma_cold(cold, key, order, cols, lam, width, nulls)
     if hot is not None:
         hot = _ewma_hot(hot, key, order, cols, lam, width, nulls)
-    states = [f"_s_{c}" for c in cols]
-    out = _both(cold, hot).withColumns({f"{c}{suffix}": F.col(s) for c, s in zip(cols, states)})
-    return out.drop(*states)
+    out = _both(cold, hot)
+    named = {f"{c}{suffix}": f"`_s_{c}` AS `{c}{suffix}`" for c in cols}
+    kept = [c for c in out.columns if c not in {f"_s_{c}" for c in cols}]
+    added = [named[n] for n in named if n not in kept]
+    return out.selectExpr(*[named.get(c, f"`{c}`") for c in kept], *added)

@@ -78,7 +78,7 @@ def pair_matches(
     """
     values = values or {"team_name": "team", "score": "score"}
     aggs = [
-        F.max(F.when(F.col("team_location") == side, F.col(src))).alias(f"{dst}_{side}")
+        F.expr(f"max(`{src}`) FILTER (WHERE team_location = '{side}') AS `{dst}_{side}`")
         for src, dst in values.items()
         for side in SIDES
     ]

@@ -7,6 +7,8 @@ sides and two different teams. The measures of a side and of a player come from
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -71,8 +73,24 @@ PLAYER_STAT_SQL = {
 
 
 
+# declared, so that reading a table starts no job for its footers
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def row_bound(spark: SparkSession, sf_dir: str, name: str = "lineitem") -> int:
@@ -81,16 +99,16 @@ def row_bound(spark: SparkSession, sf_dir: str, name: str = "lineitem") -> int:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+    return table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
         "l_partkey",
         "l_suppkey",
-        F.when(F.col("l_linenumber") % 2 == 1, "home").otherwise("away").alias("team_location"),
-        F.col("l_quantity").cast("int").alias("q"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("d"),
-        F.round(F.col("l_tax") * 100).cast("int").alias("t"),
-        F.col("l_linenumber").alias("n"),
-        F.col("l_extendedprice").alias("e"),
+        "IF(l_linenumber % 2 = 1, 'home', 'away') AS team_location",
+        "CAST(l_quantity AS INT) AS q",
+        "CAST(round(l_discount * 100) AS INT) AS d",
+        "CAST(round(l_tax * 100) AS INT) AS t",
+        "l_linenumber AS n",
+        "l_extendedprice AS e",
     )
 
 
@@ -104,63 +122,58 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _teams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier key -> full team name ("<region> <nation>")."""
-    nation = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    named = nation.select(
-        "n_nationkey", F.concat_ws(" ", "r_name", "n_name").alias("team_name")
-    )
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return supplier.join(named, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "team_name")
-
-
 def team_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two rows per match. Lines are summed per side before anything is joined to them."""
-    stats = [F.expr(f"cast({sql} as double)").alias(c) for c, sql in TEAM_STAT_SQL.items()]
-    sides = (
+    """Two rows per match.
+
+    Lines are aggregated once per order, both sides in the same row and on primitive columns (hash
+    aggregation, partial per map task); that exchange on the order key also serves the orders join.
+    """
+    aggs = []
+    for s in ("home", "away"):
+        aggs.append(f"min(l_suppkey) FILTER (WHERE team_location = '{s}') AS {s}_supp")
+        for stat, sql in TEAM_STAT_SQL.items():
+            at_side = re.sub(r"(\w+\(\w\))", rf"\1 FILTER (WHERE team_location = '{s}')", sql)
+            aggs.append(f"CAST({at_side} AS DOUBLE) AS {s}_{stat}")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    wide = (
         _lines(spark, sf_dir)
-        .groupBy("l_orderkey", "team_location")
-        .agg(F.min("l_suppkey").alias("s_suppkey"), *stats)
-        .join(_teams(spark, sf_dir), "s_suppkey")
-        .withColumn("side", F.struct("team_name", *TEAM_STATS))
-    )
-    home, away = (
-        F.max(F.when(F.col("team_location") == s, F.col("side"))).alias(s) for s in ("home", "away")
-    )
-    matches = (
-        sides.groupBy(F.col("l_orderkey").alias("match_id"))
-        .agg(home, away)
-        .filter("home.team_name <> away.team_name")
+        .groupBy(F.col("l_orderkey").alias("match_id"))
+        .agg(*[F.expr(a) for a in aggs])
+        .filter("home_supp IS NOT NULL AND away_supp IS NOT NULL")
         .join(_orders(spark, sf_dir), "match_id")
+        .join(supplier.toDF("home_supp", "home_nation"), "home_supp")
+        .join(supplier.toDF("away_supp", "away_nation"), "away_supp")
+        .filter("home_nation <> away_nation")
     )
-    side = F.explode(
-        F.array(
-            F.struct(F.lit("home").alias("team_location"), "home.*"),
-            F.struct(F.lit("away").alias("team_location"), "away.*"),
-        )
-    ).alias("side")
-    long = matches.select("match_id", "date", "season", "round", side)
-    return long.select(
-        F.col("season").cast("long").alias("competition_id"),
-        "match_id",
-        "season",
-        "round",
-        "date",
-        "side.*",
+    sides = [
+        f"named_struct('team_location', '{s}', 'n_nationkey', {s}_nation, "
+        + ", ".join(f"'{c}', {s}_{c}" for c in TEAM_STATS)
+        + ")"
+        for s in ("home", "away")
+    ]
+    ids = ["match_id", "season", "round", "date"]
+    long = wide.selectExpr(*ids, f"inline(array({', '.join(sides)}))").join(_nations(spark, sf_dir), "n_nationkey")
+    return long.selectExpr(
+        "CAST(season AS BIGINT) AS competition_id", *ids, "team_location", "team_name", *TEAM_STATS
     )
 
 
+def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation key -> full team name ("<region> <nation>")."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return joined.select("n_nationkey", F.concat_ws(" ", "r_name", "n_name").alias("team_name"))
+
+
 def player_match(spark: SparkSession, sf_dir: str, teams: DataFrame | None = None) -> DataFrame:
     """One row per line of a kept match, with the 30 player statistics."""
     teams = team_match(spark, sf_dir) if teams is None else teams
-    position = F.create_map(*[F.lit(x) for kv in POSITION_OF_TYPE.items() for x in kv])
-    part = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"),
-        F.split("p_name", " ").getItem(0).alias("firstname"),
-        F.split("p_name", " ").getItem(1).alias("surname"),
-        position[F.col("p_type")].alias("position"),
+    position = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in POSITION_OF_TYPE.items())
+    part = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS l_partkey",
+        "split(p_name, ' ')[0] AS firstname",
+        "split(p_name, ' ')[1] AS surname",
+        f"CASE p_type {position} END AS position",
     )
     rows = (
         _lines(spark, sf_dir)
@@ -171,22 +184,22 @@ def player_match(spark: SparkSession, sf_dir: str, teams: DataFrame | None = Non
         )
         .join(part, "l_partkey")
     )
-    return rows.select(
-        F.col("l_partkey").alias("player_id"),
+    return rows.selectExpr(
+        "l_partkey AS player_id",
         "firstname",
         "surname",
         "team_name",
-        F.col("l_suppkey").alias("squad_id"),
+        "l_suppkey AS squad_id",
         "position",
-        F.col("n").alias("jumper_number"),
+        "n AS jumper_number",
         "date",
         "match_id",
         "competition_id",
         "season",
         "round",
         "team_location",
-        *[F.expr(f"cast({PLAYER_STAT_SQL[c]} as double)").alias(c) for c in PLAYER_STATS],
-        F.col("e").alias("price"),
+        *[f"CAST({PLAYER_STAT_SQL[c]} AS DOUBLE) AS {c}" for c in PLAYER_STATS],
+        "e AS price",
     )
 
 

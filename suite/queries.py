@@ -35,7 +35,8 @@ def q(col: Column | str, digits: int = 6) -> Column:
 
 
 def on_grid(cols, digits=6):
-    return [q(c, digits).alias(c) for c in cols]
+    unit = f"1e{digits}D"
+    return [F.expr(f"floor(`{c}` * {unit} + 0.31831D) / {unit} AS `{c}`") for c in cols]
 
 
 def matches(tm: DataFrame) -> DataFrame:
