@@ -57,8 +57,8 @@ def _both(cold: DataFrame | None, hot: DataFrame | None) -> DataFrame:
     return hot if cold is None else cold.unionByName(hot)
 
 
-def _number_hot(df: DataFrame, key: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
-    sort = [F.col(k) for k in key] + list(order)
+def _number_hot(df: DataFrame, key: Sequence[str], order: Sequence[Column | str], out: str) -> DataFrame:
+    sort = [F.col(k) for k in key] + [F.col(o) if isinstance(o, str) else o for o in order]
     # The range bounds come from a sample, so the numbered rows are written once and never redrawn.
     ranged = cut(
         df.repartitionByRange(*sort)
@@ -82,7 +82,7 @@ def _number_hot(df: DataFrame, key: Sequence[str], order: Sequence[Column], out:
 def number_rows(
     df: DataFrame,
     key: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[Column | str],
     out: str = "_pos",
     rows_bound: int | None = None,
     hot_rows: int = HOT_ROWS,
@@ -100,7 +100,7 @@ def number_rows(
 def lag_values(
     df: DataFrame,
     key: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[Column | str],
     values: dict[str, Column],
     rows_bound: int | None = None,
     hot_rows: int = HOT_ROWS,
@@ -113,21 +113,21 @@ def lag_values(
         cold = cold.withColumns({name: F.lag(v).over(w) for name, v in values.items()})
     if hot is not None:
         rows = (
-            _number_hot(hot, key, order, "_pos")
-            .withColumn("_chunk", F.floor(F.col("_pos") / chunk_rows))
+            _number_hot(hot, key, order, "_ix")
+            .withColumn("_chunk", F.floor(F.col("_ix") / chunk_rows))
             .withColumn("_now", F.struct(*[v.alias(name) for name, v in values.items()]))
         )
         by = [*key, "_chunk"]
-        ends = rows.filter(F.col("_pos") % chunk_rows == chunk_rows - 1).select(
+        ends = rows.filter(F.col("_ix") % chunk_rows == chunk_rows - 1).select(
             *key, (F.col("_chunk") + 1).alias("_chunk"), F.col("_now").alias("_carry")
         )
-        inside = F.lag("_now").over(Window.partitionBy(*by).orderBy("_pos"))
+        inside = F.lag("_now").over(Window.partitionBy(*by).orderBy("_ix"))
         rows = null_safe_join(rows.withColumn("_prev", inside), ends, by, "left")
-        prev = F.when(F.col("_pos") % chunk_rows == 0, F.col("_carry")).otherwise(F.col("_prev"))
+        prev = F.when(F.col("_ix") % chunk_rows == 0, F.col("_carry")).otherwise(F.col("_prev"))
         hot = (
             rows.withColumn("_prev", prev)
             .withColumns({name: F.col(f"_prev.{name}") for name in values})
-            .drop("_pos", "_chunk", "_now", "_carry", "_prev")
+            .drop("_ix", "_chunk", "_now", "_carry", "_prev")
         )
     return _both(cold, hot)
 
@@ -167,20 +167,20 @@ def _ewma_cold(df, key, order, cols, lam, width, nulls):
     keys = _names(key)
     w_key = Window.partitionBy(*key).orderBy(*order)
     if nulls == "poison":
-        df = df.withColumn("_pos", F.row_number().over(w_key).cast("long") - 1)
-        df = df.selectExpr("*", *_weights("_pos", lam, width))
+        df = df.withColumn("_ix", F.row_number().over(w_key).cast("long") - 1)
+        df = df.selectExpr("*", *_weights("_ix", lam, width))
         df = df.selectExpr("*", *[f"`{c}` * _wt AS `_t_{c}`" for c in cols])
         # Blocks follow the positions, so these three frames share one sort on (key, block, position).
-        inside = f"(PARTITION BY {keys}, _blk ORDER BY _pos {_BEFORE})"
+        inside = f"(PARTITION BY {keys}, _blk ORDER BY _ix {_BEFORE})"
         carry = f"(PARTITION BY {keys} ORDER BY _blk RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING)"
-        gaps = f"(PARTITION BY {keys} ORDER BY _blk, _pos {_BEFORE})"
+        gaps = f"(PARTITION BY {keys} ORDER BY _blk, _ix {_BEFORE})"
         state = [
-            f"CASE WHEN _pos > 0 AND count_if(`{c}` IS NULL) OVER {gaps} = 0 THEN "
+            f"CASE WHEN _ix > 0 AND count_if(`{c}` IS NULL) OVER {gaps} = 0 THEN "
             f"_own * coalesce(sum(`_t_{c}`) OVER {inside}, 0D) + _old * coalesce(sum(`_t_{c}`) OVER {carry}, 0D) "
             f"END AS `_s_{c}`"
             for c in cols
         ]
-        return df.selectExpr("*", *state).drop("_pos", *_WEIGHTS, *[f"_t_{c}" for c in cols])
+        return df.selectExpr("*", *state).drop("_ix", *_WEIGHTS, *[f"_t_{c}" for c in cols])
     for c in cols:
         df = df.withColumn("_idx", F.count(c).over(w_key.rowsBetween(Window.unboundedPreceding, -1)))
         df = df.selectExpr("*", *_weights("_idx", lam, width)).withColumn("_t", F.col(c) * F.col("_wt"))
@@ -210,24 +210,24 @@ def _block_state(df, key, cols, idx, lam, width):
 
 
 def _ewma_hot(df, key, order, cols, lam, width, nulls):
-    rows = _number_hot(df, key, order, "_pos")
+    rows = _number_hot(df, key, order, "_ix")
     if nulls == "poison":
         first_gap = rows.groupBy(*key).agg(
-            *[F.expr(f"min(CASE WHEN `{c}` IS NULL THEN _pos END) AS `_g_{c}`") for c in cols]
+            *[F.expr(f"min(CASE WHEN `{c}` IS NULL THEN _ix END) AS `_g_{c}`") for c in cols]
         )
-        rows = null_safe_join(_block_state(rows, key, cols, "_pos", lam, width), first_gap, key, "inner")
+        rows = null_safe_join(_block_state(rows, key, cols, "_ix", lam, width), first_gap, key, "inner")
         kept = [c for c in rows.columns if c not in {f"_s_{c}" for c in cols}]
-        clean = [f"CASE WHEN _pos <= coalesce(`_g_{c}`, _pos) THEN `_s_{c}` END AS `_s_{c}`" for c in cols]
-        return rows.select(*kept, *[F.expr(e) for e in clean]).drop("_pos", *[f"_g_{c}" for c in cols])
+        clean = [f"CASE WHEN _ix <= coalesce(`_g_{c}`, _ix) THEN `_s_{c}` END AS `_s_{c}`" for c in cols]
+        return rows.select(*kept, *[F.expr(e) for e in clean]).drop("_ix", *[f"_g_{c}" for c in cols])
     by = [*key, "_chunk"]
-    rows = rows.withColumn("_chunk", F.floor(F.col("_pos") / CHUNK_ROWS))
+    rows = rows.withColumn("_chunk", F.floor(F.col("_ix") / CHUNK_ROWS))
     per_chunk = rows.groupBy(*by).agg(*[F.count(c).alias(f"_n_{c}") for c in cols])
     past = Window.unboundedPreceding, -1
     w_chunks = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(*past)
     per_chunk = per_chunk.select(
         *by, *[F.coalesce(F.sum(f"_n_{c}").over(w_chunks), F.lit(0)).alias(f"_o_{c}") for c in cols]
     )
-    w_in = Window.partitionBy(*by).orderBy("_pos").rowsBetween(*past)
+    w_in = Window.partitionBy(*by).orderBy("_ix").rowsBetween(*past)
     rows = rows.withColumns({f"_k_{c}": F.count(c).over(w_in) for c in cols})
     rows = null_safe_join(rows, per_chunk, by, "left")
     rows = rows.withColumns({f"_k_{c}": F.col(f"_k_{c}") + F.col(f"_o_{c}") for c in cols})
@@ -242,13 +242,13 @@ def _ewma_hot(df, key, order, cols, lam, width, nulls):
             F.coalesce(lam * F.col(f"_s_{c}") + (1.0 - lam) * F.col(c), F.col(c)).alias(f"_s_{c}"),
         )
         rows = null_safe_join(rows, after, [*key, f"_k_{c}"], "left")
-    return rows.drop("_pos", *[f"_k_{c}" for c in cols])
+    return rows.drop("_ix", *[f"_k_{c}" for c in cols])
 
 
 def lagged_ewma(
     df: DataFrame,
     key: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[Column | str],
     cols: Sequence[str],
     lam: float = 0.94,
     nulls: str = "poison",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from matchlab.functions.fixed_values import TEST_CUTOFF, TREES
 from matchlab.operators import model as M
+from matchlab.operators.frame import PREDICTORS
 from matchlab.operators.metrics import forecast_metrics
 from matchlab.operators.resample import time_split
 from matchlab.session import cut
@@ -35,6 +37,7 @@ def train(
     trees: int = TREES,
     out: str | None = None,
     feature_set: str = "all differentials",
+    predictors: Sequence[str] = PREDICTORS,
     **tune_args,
 ) -> Trained:
     """Rolling-origin grid search before the cutoff, final fit, scores from the cutoff on.
@@ -45,11 +48,11 @@ def train(
     data = cut(model_frame)
     past, test = time_split(data, F.lit(cutoff).cast("date"))
     grid = M.param_table(spark) if grid is None else grid
-    metrics, predictions = M.tune(past, grid, trees=trees, **tune_args)
+    metrics, predictions = M.tune(past, grid, predictors, trees=trees, **tune_args)
     metrics = cut(metrics)
     params = M.best_params(metrics, grid)
-    pipeline = M.build_pipeline(params=params, trees=trees)
-    fitted = M.fit(pipeline, past)
+    pipeline = M.build_pipeline(predictors, params=params, trees=trees)
+    fitted = M.fit(pipeline, past, predictors)
     if out:
         M.save_model(fitted, f"{out}/{MODEL_PATH}")
         M.save_model(pipeline, f"{out}/{WORKFLOW_PATH}")

@@ -204,7 +204,9 @@ def build_frame(spark: SparkSession, sf: str) -> DataFrame:
     tm = cut(C.team_match(spark, sf))
     pm = C.player_match(spark, sf, tm)
     ladder = teams.ladder_position(C.ladder(tm), rows_bound=bound)
-    return training_frame(tm, pm, ladder, C.PLAYER_ORDER, rows_bound=bound)
+    return training_frame(
+        tm, pm, ladder, C.PLAYER_ORDER, rows_bound=bound, match_bound=C.row_bound(spark, sf, "orders")
+    )
 
 
 @query
@@ -233,7 +235,7 @@ def _elo(spark, sf, **kw):
 
 @query
 def elo_ratings(spark, sf):
-    return _elo(spark, sf, rows_bound=C.row_bound(spark, sf))
+    return _elo(spark, sf, rows_bound=C.row_bound(spark, sf, "orders"))
 
 
 @query
@@ -244,12 +246,12 @@ def elo_time_blocks(spark, sf):
 
 @query
 def elo_variants(spark, sf):
-    out = ratings.elo_variants(_elo_matches(spark, sf), rows_bound=C.row_bound(spark, sf))
+    out = ratings.elo_variants(_elo_matches(spark, sf), rows_bound=C.row_bound(spark, sf, "orders"))
     return out.select("match_id", *[q(c, 6 if c.endswith("pr_home") else 4).alias(c) for c in out.columns[1:]])
 
 
 def _grid(spark, sf):
-    return ratings.elo_grid(_elo_matches(spark, sf), rows_bound=C.row_bound(spark, sf))
+    return ratings.elo_grid(_elo_matches(spark, sf), rows_bound=C.row_bound(spark, sf, "orders"))
 
 
 @query
@@ -484,4 +486,4 @@ def weekly_scoring(spark, sf):
         competition=F.col("season"),
         player_order=C.PLAYER_ORDER,
     )
-    return score_week(week, F.lit(last), model.build_pipeline(params=SMALL, trees=10), rows_bound=bound)
+    return score_week(week, F.lit(last), model.build_pipeline(params=SMALL, trees=10), rows_bound=bound, match_bound=C.row_bound(spark, sf, "orders"))
