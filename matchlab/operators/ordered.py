@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchlab.session import cut
+from matchlab.session import bounded_broadcast, cut
 
 HOT_ROWS = 2_000_000  # rows of one key that a single task may still sort and scan
 CHUNK_ROWS = 65_536  # group width on the hot path
@@ -31,24 +31,45 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{k}" for k in keys])
 
 
+def find_hot_keys(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Stored table of the keys with more than ``hot_rows`` rows (at most rows / hot_rows), if any."""
+    hot = cut(df.groupBy(*key).count().filter(F.col("count") > hot_rows).select(*key))
+    return None if hot.isEmpty() else hot
+
+
 def split_hot(
-    df: DataFrame, key: Sequence[str], rows_bound: int | None = None, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    key: Sequence[str],
+    rows_bound: int | None = None,
+    hot_rows: int = HOT_ROWS,
+    hot_keys: DataFrame | None = None,
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """(ordinary rows, rows of hot keys); either may be None.
 
-    ``rows_bound`` is any upper bound of the row count the caller knows (for instance from the
-    parquet footers): when it is small enough no key can be hot and nothing is counted.
+    ``rows_bound`` is any upper bound of the rows per key the caller knows (for instance the row count
+    in the parquet footers): when it is small enough nothing is counted. ``hot_keys`` is a known table
+    of hot keys over some of the key columns; rows of a key that is not hot may go either way.
     """
     if not key:
         return None, df
-    if rows_bound is not None and rows_bound <= hot_rows:
-        return df, None
-    hot_keys = cut(df.groupBy(*key).count().filter(F.col("count") > hot_rows).select(*key))
-    n = hot_keys.count()
-    if n == 0:
-        return df, None
-    side = F.broadcast(hot_keys) if n <= BROADCAST_KEYS else hot_keys
-    return null_safe_join(df, side, key, "left_anti"), null_safe_join(df, side, key, "left_semi")
+    if hot_keys is None:
+        if rows_bound is not None and rows_bound <= hot_rows:
+            return df, None
+        hot_keys = find_hot_keys(df, key, hot_rows)
+        if hot_keys is None:
+            return df, None
+    side = bounded_broadcast(hot_keys, BROADCAST_KEYS)
+    by = hot_keys.columns
+    return null_safe_join(df, side, by, "left_anti"), null_safe_join(df, side, by, "left_semi")
+
+
+def scale_for(df: DataFrame, key: Sequence[str], scale: dict) -> dict:
+    """Scale arguments for several steps on the same key: the keys are counted once."""
+    hot_rows = scale.get("hot_rows", HOT_ROWS)
+    if "hot_keys" in scale or scale.get("rows_bound", hot_rows + 1) <= hot_rows:
+        return scale
+    hot_keys = find_hot_keys(df, key, hot_rows)
+    return {"rows_bound": 0} if hot_keys is None else {"hot_rows": hot_rows, "hot_keys": hot_keys}
 
 
 def _both(cold: DataFrame | None, hot: DataFrame | None) -> DataFrame:
@@ -58,25 +79,25 @@ def _both(cold: DataFrame | None, hot: DataFrame | None) -> DataFrame:
 
 
 def _number_hot(df: DataFrame, key: Sequence[str], order: Sequence[Column | str], out: str) -> DataFrame:
-    sort = [F.col(k) for k in key] + [F.col(o) if isinstance(o, str) else o for o in order]
+    """Rows with ``_hk``, the key as one never-null column, and their position within it.
+
+    All that follows groups, windows and joins on _hk, so one exchange serves several steps.
+    """
+    sort = [F.col("_hk")] + [F.col(o) if isinstance(o, str) else o for o in order]
     # The range bounds come from a sample, so the numbered rows are written once and never redrawn.
     ranged = cut(
-        df.repartitionByRange(*sort)
+        df.withColumn("_hk", F.struct(*key) if key else F.lit(0))
+        .repartitionByRange(*sort)
         .sortWithinPartitions(*sort)
         .withColumn("_seq", F.monotonically_increasing_id())
     ).withColumn("_part", F.shiftright("_seq", 33))
-    by = [*key, "_part"]
+    by = ["_hk", "_part"]
     runs = ranged.groupBy(*by).agg(F.min("_seq").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*key, F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select(
-        *by, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_start")).alias("_shift")
-    )
-    # runs has at most (hot keys + partitions) rows, far below the data; AQE picks the join.
-    return (
-        null_safe_join(ranged, runs, by, "inner")
-        .withColumn(out, F.col("_seq") + F.col("_shift"))
-        .drop("_seq", "_shift", "_part")
-    )
+    before = Window.partitionBy("_hk").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_start")).alias("_shift")
+    # One row per key and partition it touches: at most (hot keys + partitions) rows.
+    runs = bounded_broadcast(cut(runs.select(*by, shift)), BROADCAST_KEYS)
+    return ranged.join(runs, by).withColumn(out, F.col("_seq") + F.col("_shift")).drop("_seq", "_shift", "_part")
 
 
 def number_rows(
@@ -86,14 +107,15 @@ def number_rows(
     out: str = "_pos",
     rows_bound: int | None = None,
     hot_rows: int = HOT_ROWS,
+    hot_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Zero-based position of each row within its key; ``order`` must be a total order."""
-    cold, hot = split_hot(df, key, rows_bound, hot_rows)
+    cold, hot = split_hot(df, key, rows_bound, hot_rows, hot_keys)
     if cold is not None:
         w = Window.partitionBy(*key).orderBy(*order)
         cold = cold.withColumn(out, F.row_number().over(w).cast("long") - 1)
     if hot is not None:
-        hot = _number_hot(hot, key, order, out)
+        hot = _number_hot(hot, key, order, out).drop("_hk")
     return _both(cold, hot)
 
 
@@ -104,10 +126,11 @@ def lag_values(
     values: dict[str, Column],
     rows_bound: int | None = None,
     hot_rows: int = HOT_ROWS,
+    hot_keys: DataFrame | None = None,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add, per name in ``values``, that expression's value in the previous row of the key."""
-    cold, hot = split_hot(df, key, rows_bound, hot_rows)
+    cold, hot = split_hot(df, key, rows_bound, hot_rows, hot_keys)
     if cold is not None:
         w = Window.partitionBy(*key).orderBy(*order)
         cold = cold.withColumns({name: F.lag(v).over(w) for name, v in values.items()})
@@ -117,17 +140,17 @@ def lag_values(
             .withColumn("_chunk", F.floor(F.col("_ix") / chunk_rows))
             .withColumn("_now", F.struct(*[v.alias(name) for name, v in values.items()]))
         )
-        by = [*key, "_chunk"]
+        by = ["_hk", "_chunk"]
         ends = rows.filter(F.col("_ix") % chunk_rows == chunk_rows - 1).select(
-            *key, (F.col("_chunk") + 1).alias("_chunk"), F.col("_now").alias("_carry")
+            "_hk", (F.col("_chunk") + 1).alias("_chunk"), F.col("_now").alias("_carry")
         )
         inside = F.lag("_now").over(Window.partitionBy(*by).orderBy("_ix"))
-        rows = null_safe_join(rows.withColumn("_prev", inside), ends, by, "left")
+        rows = rows.withColumn("_prev", inside).join(ends, by, "left")
         prev = F.when(F.col("_ix") % chunk_rows == 0, F.col("_carry")).otherwise(F.col("_prev"))
         hot = (
             rows.withColumn("_prev", prev)
             .withColumns({name: F.col(f"_prev.{name}") for name in values})
-            .drop("_ix", "_chunk", "_now", "_carry", "_prev")
+            .drop("_ix", "_chunk", "_now", "_carry", "_prev", "_hk")
         )
     return _both(cold, hot)
 
@@ -192,9 +215,9 @@ def _ewma_cold(df, key, order, cols, lam, width, nulls):
     return df
 
 
-def _block_state(df, key, cols, idx, lam, width):
-    """Lagged state in groups (key, idx div width) of at most ``width`` rows."""
-    by = [*key, "_blk"]
+def _block_state(df, cols, idx, lam, width):
+    """Lagged state in groups (_hk, idx div width) of at most ``width`` rows."""
+    by = ["_hk", "_blk"]
     df = df.selectExpr("*", *_weights(idx, lam, width))
     df = df.selectExpr("*", *[f"`{c}` * _wt AS `_t_{c}`" for c in cols])
     sums = df.groupBy(*by).agg(*[F.sum(f"_t_{c}").alias(f"_c_{c}") for c in cols])
@@ -205,44 +228,46 @@ def _block_state(df, key, cols, idx, lam, width):
         f"CASE WHEN {idx} > 0 THEN _own * coalesce(`_i_{c}`, 0D) + _old * coalesce(`_c_{c}`, 0D) END AS `_s_{c}`"
         for c in cols
     ]
-    df = null_safe_join(df, sums, by, "left").selectExpr("*", *state)
+    df = df.join(sums, by, "left").selectExpr("*", *state)
     return df.drop(*_WEIGHTS, *[f"_{p}_{c}" for c in cols for p in "tci"])
 
 
 def _ewma_hot(df, key, order, cols, lam, width, nulls):
     rows = _number_hot(df, key, order, "_ix")
     if nulls == "poison":
-        first_gap = rows.groupBy(*key).agg(
+        first_gap = rows.groupBy("_hk").agg(
             *[F.expr(f"min(CASE WHEN `{c}` IS NULL THEN _ix END) AS `_g_{c}`") for c in cols]
         )
-        rows = null_safe_join(_block_state(rows, key, cols, "_ix", lam, width), first_gap, key, "inner")
+        # one row per hot key
+        first_gap = bounded_broadcast(cut(first_gap), BROADCAST_KEYS)
+        rows = _block_state(rows, cols, "_ix", lam, width).join(first_gap, "_hk")
         kept = [c for c in rows.columns if c not in {f"_s_{c}" for c in cols}]
         clean = [f"CASE WHEN _ix <= coalesce(`_g_{c}`, _ix) THEN `_s_{c}` END AS `_s_{c}`" for c in cols]
-        return rows.select(*kept, *[F.expr(e) for e in clean]).drop("_ix", *[f"_g_{c}" for c in cols])
-    by = [*key, "_chunk"]
+        return rows.select(*kept, *[F.expr(e) for e in clean]).drop("_ix", "_hk", *[f"_g_{c}" for c in cols])
+    by = ["_hk", "_chunk"]
     rows = rows.withColumn("_chunk", F.floor(F.col("_ix") / CHUNK_ROWS))
     per_chunk = rows.groupBy(*by).agg(*[F.count(c).alias(f"_n_{c}") for c in cols])
     past = Window.unboundedPreceding, -1
-    w_chunks = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(*past)
+    w_chunks = Window.partitionBy("_hk").orderBy("_chunk").rowsBetween(*past)
     per_chunk = per_chunk.select(
         *by, *[F.coalesce(F.sum(f"_n_{c}").over(w_chunks), F.lit(0)).alias(f"_o_{c}") for c in cols]
     )
     w_in = Window.partitionBy(*by).orderBy("_ix").rowsBetween(*past)
     rows = rows.withColumns({f"_k_{c}": F.count(c).over(w_in) for c in cols})
-    rows = null_safe_join(rows, per_chunk, by, "left")
+    rows = rows.join(per_chunk, by, "left")
     rows = rows.withColumns({f"_k_{c}": F.col(f"_k_{c}") + F.col(f"_o_{c}") for c in cols})
     rows = cut(rows.drop("_chunk", *[f"_o_{c}" for c in cols]))
     for c in cols:
         # _k counts the values before a row. The state left behind by value number _k - 1 is joined on
         # that count: at most one partner per row, however many rows share the count.
-        known = rows.filter(F.col(c).isNotNull()).select(*key, c, F.col(f"_k_{c}").alias("_idx"))
-        after = _block_state(known, key, [c], "_idx", lam, width).select(
-            *key,
+        known = rows.filter(F.col(c).isNotNull()).select("_hk", c, F.col(f"_k_{c}").alias("_idx"))
+        after = _block_state(known, [c], "_idx", lam, width).select(
+            "_hk",
             (F.col("_idx") + 1).alias(f"_k_{c}"),
             F.coalesce(lam * F.col(f"_s_{c}") + (1.0 - lam) * F.col(c), F.col(c)).alias(f"_s_{c}"),
         )
-        rows = null_safe_join(rows, after, [*key, f"_k_{c}"], "left")
-    return rows.drop("_ix", *[f"_k_{c}" for c in cols])
+        rows = rows.join(after, ["_hk", f"_k_{c}"], "left")
+    return rows.drop("_ix", "_hk", *[f"_k_{c}" for c in cols])
 
 
 def lagged_ewma(
@@ -254,6 +279,7 @@ def lagged_ewma(
     nulls: str = "poison",
     rows_bound: int | None = None,
     hot_rows: int = HOT_ROWS,
+    hot_keys: DataFrame | None = None,
     suffix: str = "",
 ) -> DataFrame:
     """Replace each column (or add ``<col><suffix>``) by its exponentially weighted past.
@@ -269,7 +295,7 @@ def lagged_ewma(
     width = ewma_width(lam)
     doubles = {c: f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in cols}
     df = df.selectExpr(*[doubles.get(c, f"`{c}`") for c in df.columns])
-    cold, hot = split_hot(df, key, rows_bound, hot_rows)
+    cold, hot = split_hot(df, key, rows_bound, hot_rows, hot_keys)
     if cold is not None:
         cold = _ewma_cold(cold, key, order, cols, lam, width, nulls)
     if hot is not None:

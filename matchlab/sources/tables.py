@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlab.operators.keyed import first_per_key
+from matchlab.operators.ordered import null_safe_join
+from matchlab.session import bounded_broadcast, cut
 from matchlab.sources.schemas import SCHEMAS
 
 
@@ -88,18 +90,21 @@ def unnest_competition(df: DataFrame, col: str = "competition_id") -> DataFrame:
     return df.withColumn(col, F.col(f"{col}.id").cast("long")) if nested else df
 
 
+MAX_NEW_KEYS = 1_000_000  # keys of an extract that may be broadcast against the history
+
+
 def upsert(hist: DataFrame, new: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> DataFrame:
-    """hist plus new, one row per key; a row of ``new`` replaces the row it corrects.
+    """hist plus new, where a row of ``new`` replaces the row with its key.
 
-    Within one side, the row that is smallest by ``prefer`` and then by its columns is kept, so a
-    second run with the same input changes nothing.
+    Only the extract is deduplicated (the row that is smallest by ``prefer`` and then by its columns
+    stays) and stored; the history, which has one row per key, is merely filtered by the extract's keys
+    and not shuffled while those are few. A second run with the same input changes nothing.
     """
-    both = hist.withColumn("_age", F.lit(1)).unionByName(
-        new.withColumn("_age", F.lit(0)), allowMissingColumns=True
-    )
-    rest = [c for c in both.columns if c not in (*keys, *prefer, "_age")]
-    order = [F.col(c) for c in ("_age", *prefer, *rest)]
-    return first_per_key(both, keys, order).drop("_age")
+    rest = [c for c in new.columns if c not in (*keys, *prefer)]
+    once = cut(first_per_key(new, keys, [F.col(c) for c in (*prefer, *rest)]))
+    replaced = bounded_broadcast(once.select(*keys), MAX_NEW_KEYS)
+    kept = null_safe_join(hist, replaced, keys, "left_anti")
+    return kept.unionByName(once, allowMissingColumns=True)
 
 
 def upsert_table(
