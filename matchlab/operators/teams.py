@@ -12,9 +12,11 @@ from matchlab.functions.fixed_values import FIXTURE_TEAM_NAMES, LADDER_COLUMNS
 from matchlab.operators.keyed import first_per_key
 from matchlab.operators.names import map_values
 from matchlab.operators.ordered import lag_values, number_rows
+from matchlab.session import bounded_broadcast, cut
 
 SIDES = ("home", "away")
 ORDER = ("date", "match_id")
+MAX_LADDER = 300_000  # rows of about 100 bytes
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -39,7 +41,11 @@ def ladder_position(
 
 
 def attach_ladder(tm: DataFrame, ladder: DataFrame, team: str = "team_name") -> DataFrame:
-    """Left join of the league table on (last word of the team name, year of the date, round)."""
+    """Left join of the league table on (last word of the team name, year of the date, round).
+
+    The table (teams x seasons x rounds) is stored and counted; up to ``MAX_LADDER`` rows it is
+    broadcast, so the team rows stay where they are.
+    """
     table = first_per_key(ladder, ["team", "season", "round"], _cols(["ladder_position", "ladder_points"])).select(
         F.col("team").alias("_team"),
         F.col("season").alias("_season"),
@@ -53,6 +59,7 @@ def attach_ladder(tm: DataFrame, ladder: DataFrame, team: str = "team_name") ->
         & (F.year("date") == F.col("_season"))
         & (F.col("round") == F.col("_round"))
     )
+    table = bounded_broadcast(cut(table), MAX_LADDER)
     return tm.join(table, on, "left").drop("_team", "_season", "_round")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -463,12 +464,14 @@ def variable_importance(spark, sf):
 
 @query
 def weekly_scoring(spark, sf):
-    """The week of the last match date: history before its Tuesday, fixtures and line-ups from it on."""
+    """A week before the last match: history before its Tuesday, the rest of that round to predict."""
     bound = C.row_bound(spark, sf)
     tm = cut(C.team_match(spark, sf))
     pm = C.player_match(spark, sf, tm)
     last = tm.agg(F.max("date")).first()[0]
-    cutoff = week_floor(F.lit(last))
+    day = last - dt.timedelta(days=7)
+    as_of = F.lit(day)
+    cutoff = week_floor(as_of)
     hist_tm, hist_pm = tm.filter(F.col("date") < cutoff), pm.filter(F.col("date") < cutoff)
     coming = matches(tm).filter(F.col("date") >= cutoff)
     lineup = pm.filter(F.col("date") >= cutoff).select(
@@ -481,9 +484,11 @@ def weekly_scoring(spark, sf):
         player_key=_name_key(spark, sf),
         results=coming.select("season", "round", "date", F.col("team_home").alias("home_team"), F.col("team_away").alias("away_team")),
         lineup=lineup.distinct(),
-        season=last.year,
-        round=last.month,
+        season=day.year,
+        round=day.month,
         competition=F.col("season"),
         player_order=C.PLAYER_ORDER,
     )
-    return score_week(week, F.lit(last), model.build_pipeline(params=SMALL, trees=10), rows_bound=bound, match_bound=C.row_bound(spark, sf, "orders"))
+    match_bound = C.row_bound(spark, sf, "orders")
+    pipeline = model.build_pipeline(params=SMALL, trees=10)
+    return score_week(week, as_of, pipeline, rows_bound=bound, match_bound=match_bound)
