@@ -45,7 +45,15 @@ class Week:
 def week_frame(week: Week, **scale) -> DataFrame:
     """Model frame of the history and the coming round together."""
     fixtures = cut(
-        build_fixtures(week.results, week.season, week.round, week.competition, week.round_offset, week.names)
+        build_fixtures(
+            week.results,
+            week.season,
+            week.round,
+            week.competition,
+            week.round_offset,
+            week.names,
+            rows_bound=scale.get("match_bound"),
+        )
     )
     lineup = resolve_lineup(week.lineup, week.player_key, fixtures)
     tm = dated(week.team_match).unionByName(fixtures.drop("season"), allowMissingColumns=True)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlab.functions.columns import result_code, week_floor
 from matchlab.functions.fixed_values import LADDER_COLUMNS, PLAYER_FEATURES, TEAM_STATS
@@ -15,9 +17,9 @@ from matchlab.operators.keyed import first_per_key, player_key
 from matchlab.operators.ordered import lagged_ewma
 from matchlab.plans.features import training_frame
 from matchlab.plans.weekly import Week, score_week
-from matchlab.session import cut
+from matchlab.session import cut, ensure_checkpoint_dir
 from matchlab.sources import commerce as C
-from matchlab.sources.tables import collect_extracts, upsert
+from matchlab.sources.tables import append_log, collect_extracts, read_table, upsert, upsert_table, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -265,9 +267,40 @@ def elo_best_k(spark, sf):
     return ratings.best_k(_grid(spark, sf)).select("k", q("logloss", 8).alias("logloss"))
 
 
+@query
+def elo_by_pool(spark, sf):
+    """A rating pool of its own per season."""
+    bound = C.row_bound(spark, sf, "orders")
+    out = ratings.elo(_elo_matches(spark, sf), [22.0], pool=["season"], rows_bound=bound, arrays=False)
+    return out.select("match_id", *[q(f"{c}_0", d).alias(c) for c, d in (("elo_home", 4), ("elo_away", 4), ("pr_home", 6))])
+
+
 # ---------------------------------------------------------------- names and fixtures
 
 
+@query
+def map_values_(spark, sf):
+    """Fixed mapping for the part types, an alias table for the nations of the suppliers."""
+    nation, region = C.table(spark, sf, "nation"), C.table(spark, sf, "region")
+    aliases = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_name").alias("value"), F.col("r_name").alias("mapped")
+    ).filter("mapped <> 'ASIA'")
+    rows = (
+        C.table(spark, sf, "lineitem")
+        .join(C.table(spark, sf, "part"), F.col("p_partkey") == F.col("l_partkey"))
+        .join(C.table(spark, sf, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
+        .join(nation, F.col("n_nationkey") == F.col("s_nationkey"))
+        .groupBy(F.col("p_type").alias("position"), F.col("n_name").alias("team"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    known = {k: v for k, v in C.POSITION_OF_TYPE.items() if k != "PROMO"}
+    out = names.map_values(names.map_values(rows, "position", known), "team", aliases)
+    return out.groupBy("position", "team").agg(F.sum("n").alias("n"))
+
+
+QUERIES["map_values"] = QUERIES.pop("map_values_")
+
+
 @query
 def canonical_team(spark, sf):
     tm = C.team_match(spark, sf)
@@ -392,6 +425,21 @@ def metrics_logloss_acc_f1(spark, sf):
     return out.select("season", *on_grid(["logloss", "accuracy", "f_meas"], 8), "n")
 
 
+@query
+def tuning_metrics(spark, sf):
+    """Out-of-fold metrics per configuration: rounds as configurations, seasons as folds."""
+    poss = {"possession_percentage": "poss", "score": "score"}
+    wide = teams.pair_matches(C.team_match(spark, sf), poss, ["match_id", "season", "round"])
+    predictions = wide.select(
+        F.col("round").alias("config_id"),
+        F.col("season").alias("fold"),
+        ((F.col("poss_home") + 1) / (F.col("poss_home") + F.col("poss_away") + 2)).alias("pred_h"),
+        result_code(F.col("score_home"), F.col("score_away"), "label").alias("result"),
+    )
+    out = model.collect_metrics(predictions)
+    return out.select("config_id", "metric", *on_grid(["mean"], 8), *on_grid(["std_err"], 8), "n")
+
+
 @query
 def odds_devig_logloss(spark, sf):
     out = metrics.odds_logloss(C.odds(C.team_match(spark, sf)))
@@ -409,6 +457,40 @@ def upsert_idempotent(spark, sf):
     return upsert(once, fixed, ["match_id", "team_name"])
 
 
+def _scratch(spark: SparkSession) -> str:
+    """New folder next to the checkpoints, on storage every executor reaches."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+
+
+_STORED = ["match_id", "team_name", "season", "round", "date", "score"]
+_STORED_SCHEMA = "match_id bigint, team_name string, season int, round int, date date, score double"
+
+
+@query
+def csv_round_trip(spark, sf):
+    """Written as CSV, appended to, and read back with the declared schema."""
+    path = _scratch(spark)
+    tm = C.team_match(spark, sf).select(*_STORED)
+    write_table(tm, path, "csv")
+    append_log(tm.withColumn("round", F.col("round") + 100), path, "csv")
+    return read_table(spark, T.StructType.fromDDL(_STORED_SCHEMA), path, "csv")
+
+
+@query
+def upsert_table_(spark, sf):
+    """Stored history, one corrected round upserted twice into its season partitions."""
+    path, schema = _scratch(spark), T.StructType.fromDDL(_STORED_SCHEMA)
+    tm = C.team_match(spark, sf).select(*_STORED)
+    fixed = tm.filter(F.col("round") == 12).withColumn("score", F.col("score") + 1)
+    for extract in (tm, fixed, fixed):
+        upsert_table(spark, path, schema, extract, ["match_id", "team_name"])
+    return spark.read.schema(schema).parquet(path).select(*_STORED)
+
+
+QUERIES["upsert_table"] = QUERIES.pop("upsert_table_")
+
+
 @query
 def collect_extracts_(spark, sf):
     customer = C.table(spark, sf, "customer").toDF("partyKey", "partyName", "nationKey", "acctBal", "marketSegment")

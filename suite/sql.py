@@ -373,3 +373,48 @@ UNION ALL SELECT 'constant', {q("7.0")}, {q("7.0")}, false"""
 ORACLES["collect_extracts"] = """SELECT CAST(c_custkey AS BIGINT) AS party_key, c_name AS party_name, c_nationkey AS nation_key,
   c_acctbal AS acct_bal, c_mktsegment AS market_segment, 'customer' AS extract FROM customer
 UNION ALL SELECT s_suppkey, s_name, s_nationkey, s_acctbal, NULL, 'supplier' FROM supplier"""
+
+ORACLES["upsert_table"] = ORACLES["upsert_idempotent"]
+
+ORACLES["csv_round_trip"] = f"""WITH {TEAM}
+SELECT match_id, team_name, season, round, date, score FROM team_match
+UNION ALL SELECT match_id, team_name, season, round + 100, date, score FROM team_match"""
+
+ORACLES["elo_by_pool"] = f"""WITH RECURSIVE {TEAM}, {MATCHES},
+seq AS MATERIALIZED (
+  SELECT season AS pool, row_number() OVER (PARTITION BY season ORDER BY date, match_id) AS i, match_id, th, ta, result
+  FROM matches),
+rated AS (
+  SELECT DISTINCT season AS pool, 0::BIGINT AS i, 0::BIGINT AS match_id, 0::DOUBLE AS eh, 0::DOUBLE AS ea, 0::DOUBLE AS p,
+         list_transform(range(25), lambda x: 1500::DOUBLE) AS s FROM matches
+  UNION ALL
+  SELECT pool, i, match_id, eh, ea, p,
+         list_transform(s, lambda v, j: CASE WHEN j = th THEN v + 22 * (result - p)
+                                             WHEN j = ta THEN v - 22 * (result - p) ELSE v END)
+  FROM (SELECT rated.pool, seq.i, seq.match_id, seq.th, seq.ta, seq.result, rated.s,
+               rated.s[seq.th] AS eh, rated.s[seq.ta] AS ea,
+               1 / (1 + pow(10::DOUBLE, (rated.s[seq.ta] - rated.s[seq.th]) / 400)) AS p
+        FROM rated JOIN seq ON seq.i = rated.i + 1 AND seq.pool = rated.pool))
+SELECT match_id, {q("eh", 4)} AS elo_home, {q("ea", 4)} AS elo_away, {q("p")} AS pr_home FROM rated WHERE i > 0"""
+
+_KNOWN = {k: v for k, v in POSITION_OF_TYPE.items() if k != "PROMO"}
+ORACLES["map_values"] = f"""
+SELECT {case("p_type", _KNOWN, "p_type")} AS position, CASE WHEN r_name <> 'ASIA' THEN r_name ELSE n_name END AS team, count(*) AS n
+FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
+JOIN nation ON n_nationkey = s_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL"""
+
+ORACLES["tuning_metrics"] = f"""WITH {TEAM}, {MATCHES},
+scored AS (
+  SELECT round, season, (poss_home + 1) / (poss_home + poss_away + 2) AS p,
+         CASE WHEN score_home > score_away THEN 1.0 ELSE 0.0 END::DOUBLE AS result FROM matches),
+folds AS (
+  SELECT round, season, avg({LOSS}) AS logloss,
+         avg(CASE WHEN (p > 0.5) = (result = 1) THEN 1.0 ELSE 0.0 END) AS accuracy,
+         2.0 * count(*) FILTER (result = 0 AND p <= 0.5)
+           / nullif(count(*) FILTER (result = 0) + count(*) FILTER (p <= 0.5), 0) AS f_meas
+  FROM scored GROUP BY ALL),
+long AS (
+  SELECT round, 'logloss' AS metric, logloss AS v FROM folds
+  UNION ALL SELECT round, 'accuracy', accuracy FROM folds UNION ALL SELECT round, 'f_meas', f_meas FROM folds)
+SELECT round AS config_id, metric, {q("avg(v)", 8)} AS mean, {q("stddev_samp(v) / sqrt(count(v))", 8)} AS std_err, count(v) AS n
+FROM long GROUP BY round, metric"""
