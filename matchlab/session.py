@@ -18,7 +18,8 @@ def local_session(cores: int | str = 8, app: str = "matchlab", **conf: str) -> S
         .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)

@@ -69,6 +69,20 @@ def append_log(df: DataFrame, path: str, fmt: str = "csv") -> None:
     (writer.option("header", True) if fmt == "csv" else writer).save(path)
 
 
+def select_competitions(competitions: DataFrame, names: Sequence[str], first_season: int | None = None) -> DataFrame:
+    """Competitions whose name contains one of the given texts, from a first season on."""
+    hit = F.lit(False)
+    for text in names:
+        hit = hit | F.col("name").contains(text)
+    chosen = competitions.filter(hit)
+    return chosen if first_season is None else chosen.filter(F.col("season") >= first_season)
+
+
+def played_rounds(results: DataFrame, score: str = "home_score") -> DataFrame:
+    """Rounds in which some fixture already has a score."""
+    return results.filter(F.col(score).isNotNull()).select("round").distinct()
+
+
 def collect_extracts(
     frames: Sequence[DataFrame], required: Sequence[str] | None = None, **tags: Column
 ) -> DataFrame:

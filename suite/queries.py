@@ -19,7 +19,16 @@ from matchlab.plans.features import training_frame
 from matchlab.plans.weekly import Week, score_week
 from matchlab.session import cut, ensure_checkpoint_dir
 from matchlab.sources import commerce as C
-from matchlab.sources.tables import append_log, collect_extracts, read_table, upsert, upsert_table, write_table
+from matchlab.sources.tables import (
+    append_log,
+    collect_extracts,
+    played_rounds,
+    read_table,
+    select_competitions,
+    upsert,
+    upsert_table,
+    write_table,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -491,6 +500,30 @@ def upsert_table_(spark, sf):
 QUERIES["upsert_table"] = QUERIES.pop("upsert_table_")
 
 
+@query
+def select_competitions_(spark, sf):
+    """Parts read as competitions: two of the nouns, from a first size on."""
+    listed = C.table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_size").alias("season")
+    )
+    return select_competitions(listed, ["widget", "bolt"], 16)
+
+
+QUERIES["select_competitions"] = QUERIES.pop("select_competitions_")
+
+
+@query
+def played_rounds_(spark, sf):
+    """Rounds with a score, where only home wins count as scored."""
+    listed = matches(C.team_match(spark, sf)).select(
+        "round", F.when(F.col("score_home") > F.col("score_away"), F.col("score_home")).alias("home_score")
+    )
+    return played_rounds(listed)
+
+
+QUERIES["played_rounds"] = QUERIES.pop("played_rounds_")
+
+
 @query
 def collect_extracts_(spark, sf):
     customer = C.table(spark, sf, "customer").toDF("partyKey", "partyName", "nationKey", "acctBal", "marketSegment")

@@ -418,3 +418,8 @@ long AS (
   UNION ALL SELECT round, 'accuracy', accuracy FROM folds UNION ALL SELECT round, 'f_meas', f_meas FROM folds)
 SELECT round AS config_id, metric, {q("avg(v)", 8)} AS mean, {q("stddev_samp(v) / sqrt(count(v))", 8)} AS std_err, count(v) AS n
 FROM long GROUP BY round, metric"""
+
+ORACLES["select_competitions"] = """SELECT p_partkey AS id, p_name AS name, p_size AS season FROM part
+WHERE (p_name LIKE '%widget%' OR p_name LIKE '%bolt%') AND p_size >= 16"""
+
+ORACLES["played_rounds"] = f"""WITH {TEAM}, {MATCHES} SELECT DISTINCT round FROM matches WHERE score_home > score_away"""

@@ -89,3 +89,14 @@ def test_upsert_table_rewrites_only_touched_seasons(spark, tmp_path):
     assert rows == [(1, 1.0, 2020), (2, 9.0, 2021), (3, 3.0, 2021)]
     assert before == {p.name for p in (tmp_path / "t" / "season=2020").glob("*.parquet")}
     assert len(TEAM_STATS) == 9
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_extract_folders_by_season_and_round(spark, tmp_path, fmt):
+    path = str(tmp_path / "landed")
+    rows = [("Storm", 4.0, 1.0, 1.0, 0.0, s, r, 1) for s in (2020, 2021) for r in (1, 2)]
+    df = spark.createDataFrame(rows, SCHEMAS["ladder"])
+    writer = df.write.partitionBy("season", "round").format(fmt)
+    (writer.option("header", True) if fmt == "csv" else writer).save(path)
+    got = read_table(spark, "ladder", path, fmt).filter("season = 2021")
+    assert sorted((r.season, r["round"], r.ladder_points, r.ladder_position) for r in got.collect()) == [(2021, 1, 4.0, 1), (2021, 2, 4.0, 1)]
