@@ -55,6 +55,11 @@ def test_scaling_of_single_rows_constants_and_gaps(spark):
     assert len(out["ok"]) == 3 and sorted(out[None]) == pytest.approx([-0.70710678, 0.70710678])
 
 
+def test_rounding_noise_is_no_spread(spark):
+    df = spark.createDataFrame([("g", 0.3), ("g", 0.1 + 0.2)], "g string, x double")
+    assert [r.x for r in group_scale(df, ["g"], ["x"]).collect()] == [None, None]
+
+
 def test_first_row_per_key_and_pairs(spark):
     df = spark.createDataFrame([(1, "A", "home", 5.0), (1, "A", "home", 4.0), (1, "B", "away", 3.0)], "match_id long, team_name string, team_location string, score double")
     one = first_per_key(df, ["match_id", "team_name"], [F.col("score")])
