@@ -16,6 +16,12 @@ def _vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchlab.llm.decontam import overlaps
+
+    return overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op2_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchlab.llm.sharding import byte_shards
 
@@ -31,14 +37,41 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(_table(spark, sf_dir, "documents"), _vocabulary(), end_id=1)
 
 
+def op7_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchlab.llm.secrets import joined, secret_spans
+
+    rows = secret_spans(_table(spark, sf_dir, "documents"), owner=F.col("source"), repo=F.concat_ws("/", "source", "lang"))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    return rows.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+        "n_live",
+        "n_copied",
+    )
+
+
 def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchlab.llm.warc import page_rows, read_archives, write_archives
 
     return page_rows(read_archives(write_archives(_table(spark, sf_dir, "pages"))))
 
 
+def op9_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchlab.llm.licenses import license_scan
+
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_spaced_seeds": op1_spaced_seeds,
     "op2_byte_shards": op2_byte_shards,
     "op3_token_files": op3_token_files,
+    "op7_secret_owners": op7_secret_owners,
     "op8_warc_salvage": op8_warc_salvage,
+    "op9_license_notices": op9_license_notices,
 }
