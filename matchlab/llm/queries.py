@@ -37,6 +37,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(_table(spark, sf_dir, "documents"), _vocabulary(), end_id=1)
 
 
+def op4_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchlab.llm.jaccard import jaccard_classes
+
+    return jaccard_classes(_table(spark, sf_dir, "documents"))
+
+
 def op7_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchlab.llm.secrets import joined, secret_spans
 
@@ -71,6 +77,7 @@ QUERIES = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_byte_shards": op2_byte_shards,
     "op3_token_files": op3_token_files,
+    "op4_jaccard_tiles": op4_jaccard_tiles,
     "op7_secret_owners": op7_secret_owners,
     "op8_warc_salvage": op8_warc_salvage,
     "op9_license_notices": op9_license_notices,
