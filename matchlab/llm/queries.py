@@ -40,7 +40,13 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchlab.llm.jaccard import jaccard_classes
 
-    return jaccard_classes(_table(spark, sf_dir, "documents"))
+    return jaccard_classes(_table(spark, sf_dir, "documents")).drop("n_links")
+
+
+def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchlab.llm.quality import judged
+
+    return judged(_table(spark, sf_dir, "documents"))
 
 
 def op7_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,12 +79,21 @@ def op9_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchlab.llm.mixing import copies
+
+    rows = copies(_table(spark, sf_dir, "documents"), max_repeats=1.25)
+    return rows.withColumn("weight", F.round("weight", 6)).withColumn("copies", F.col("copies").cast("long"))
+
+
 QUERIES = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_byte_shards": op2_byte_shards,
     "op3_token_files": op3_token_files,
     "op4_jaccard_tiles": op4_jaccard_tiles,
+    "op5_robust_outliers": op5_robust_outliers,
     "op7_secret_owners": op7_secret_owners,
     "op8_warc_salvage": op8_warc_salvage,
     "op9_license_notices": op9_license_notices,
+    "op10_temperature_mix": op10_temperature_mix,
 }

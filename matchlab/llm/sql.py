@@ -32,7 +32,47 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
 FROM d
 """
 
+OP4 = r"""
+WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY ALL),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(doc_id, low) AS (SELECT a, a FROM edge UNION SELECT e.b, r.low FROM reach r JOIN edge e ON e.a = r.doc_id WHERE r.low < e.b),
+low AS (SELECT doc_id, min(low) AS low FROM reach GROUP BY ALL)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(low, doc_id) AS component_id
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)
+"""
+
+OP10 = r"""
+WITH RECURSIVE
+d AS (SELECT doc_id, source, coalesce('=' || source, '') AS src, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens,
+             ('0x' || substr(md5('7|' || doc_id), 1, 8))::BIGINT % 256 AS block FROM documents),
+b AS (SELECT src, block, sum(n_tokens) AS tokens FROM d GROUP BY ALL),
+s AS (SELECT src, sum(tokens) AS total, sum(tokens) / sum(sum(tokens)) OVER () AS p FROM b GROUP BY ALL),
+l AS (SELECT list(ln(p)) AS l FROM s WHERE p > 0),
+search(k, lo, hi) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT k + 1, CASE WHEN met THEN lo ELSE mid END, CASE WHEN met THEN mid ELSE hi END
+  FROM (SELECT k, lo, hi, (lo + hi) / 2 AS mid,
+               list_max(list_transform(l, lambda x: exp(((lo + hi) / 2 - 1) * x))) / list_sum(list_transform(l, lambda x: exp((lo + hi) / 2 * x))) <= 1.25 AS met
+        FROM search, l WHERE k < 60)),
+best AS (SELECT hi AS a, list_sum(list_transform(l, lambda x: exp(hi * x))) AS z FROM search, l WHERE k = 60),
+m AS (SELECT src, total, CASE WHEN p > 0 THEN exp(a * ln(p)) / z ELSE 0 END AS weight, CASE WHEN p > 0 THEN exp((a - 1) * ln(p)) / z ELSE 0 END AS epochs FROM s, best),
+o AS (SELECT b.src, block, tokens, weight, epochs, total, floor(epochs + 1e-9)::INT AS whole,
+             sum(tokens) OVER (PARTITION BY b.src ORDER BY md5('7|' || b.src || '|' || floor(epochs + 1e-9)::INT || '|' || block), block) - tokens AS ahead
+      FROM b JOIN m ON b.src = m.src)
+SELECT doc_id, source, n_tokens, d.block, (whole + (ahead + tokens / 2 < (epochs - whole) * total)::INT)::BIGINT AS copies, round(weight, 6) AS weight
+FROM d JOIN o ON d.src = o.src AND d.block = o.block
+"""
+
 ORACLES = {
     "op2_byte_shards": OP2,
+    "op4_jaccard_tiles": OP4,
     "op8_warc_salvage": OP8,
+    "op10_temperature_mix": OP10,
 }
