@@ -205,6 +205,7 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sour
 
 def accepted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", **options) -> DataFrame:
     """The rows of docs that the rules keep, with all their columns."""
-    verdict = judged(docs, text_col, lang_col, source_col, keep=docs.columns, **options)
-    first = list(docs.columns)
-    return verdict.where(F.col("kept")).select(*first)
+    named = {c: f"__c{i}" for i, c in enumerate(docs.columns)}  # so that no name meets one of the verdict
+    held = docs.select(*(F.col(c).alias(n) for c, n in named.items()))
+    verdict = judged(held, named[text_col], named[lang_col], named[source_col], keep=list(named.values()), **options)
+    return verdict.where("kept").select(*(F.col(n).alias(c) for c, n in named.items()))

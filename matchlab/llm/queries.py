@@ -49,6 +49,13 @@ def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(_table(spark, sf_dir, "documents"))
 
 
+def op6_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchlab.llm.lm import lm_scores
+
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return lm_scores(_table(spark, sf_dir, "documents"), _vocabulary(), end_id=49407, held_out=held_out)
+
+
 def op7_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchlab.llm.secrets import joined, secret_spans
 
@@ -92,6 +99,7 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_jaccard_tiles": op4_jaccard_tiles,
     "op5_robust_outliers": op5_robust_outliers,
+    "op6_attention_scores": op6_attention_scores,
     "op7_secret_owners": op7_secret_owners,
     "op8_warc_salvage": op8_warc_salvage,
     "op9_license_notices": op9_license_notices,
