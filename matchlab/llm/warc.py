@@ -212,7 +212,7 @@ def read_archives(files: DataFrame, path_col: str = "path") -> DataFrame:
     def _rows(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds.types)], schema=kinds)
 
-    spread = files.select(path_col).repartition(path_col)
+    spread = files.select(path_col).repartition(max(1, files.count()))  # a fixed number is not merged into fewer tasks
     return spread.mapInArrow(read, "path string, kind string, start long, end long, reason string, header map<string,string>, block binary, block_sha1 string")
 
 
