@@ -221,7 +221,7 @@ def read_token_files(files: DataFrame, digest: Callable[[np.ndarray], int]) -> D
                     )
                     base, place = base + len(ids), place + len(names)
 
-    spread = files.select("part", "path").repartition("path")
+    spread = files.select("part", "path").repartition(max(1, files.count()))  # a fixed number is not merged into fewer tasks
     return spread.mapInArrow(read, "part int, place long, doc_id long, n_tokens long, ids_crc32 long, local_start long")
 
 
