@@ -33,7 +33,7 @@ HEADLINE = [
     "odds_devig_logloss",
     "upsert_idempotent",
     "model_frame",
-    "gbt_predictions",
+    "gbt_stump_scores",
 ]
 
 

@@ -65,6 +65,10 @@ LADDER_COLUMNS = [
     "ladder_position",
 ]
 
+# --- fixed values: raw column names of landed league tables and line-ups -> table column
+LADDER_NAMES = {"points": "ladder_points"}
+LINEUP_NAMES = {"first_name": "firstname", "last_name": "surname", "role": "position"}
+
 # --- fixed values: rate features of a player
 PLAYER_FEATURES = [
     "m_per_run", "tb_per_run", "lb_per_run", "offs_per_run", "ta_per_touch", "lba_per_touch",

@@ -19,10 +19,11 @@ def accuracy(truth: Column, guess: Column) -> Column:
 
 
 def f_meas(truth: Column, guess: Column, event: str = "A") -> Column:
-    """F1 of one level; null where the level is neither present nor guessed."""
+    """F1 of one level; null where the level is never guessed, so such a fold is left out of the mean."""
+    guessed = F.sum((guess == event).cast("double"))
     hit = F.sum(((truth == event) & (guess == event)).cast("double"))
-    either = F.sum((truth == event).cast("double")) + F.sum((guess == event).cast("double"))
-    return F.try_divide(2 * hit, either)
+    either = F.sum((truth == event).cast("double")) + guessed
+    return F.when(guessed > 0, F.try_divide(2 * hit, either))
 
 
 def forecast_metrics(

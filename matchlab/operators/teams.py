@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchlab.functions.columns import last_word, result_code
@@ -46,7 +46,9 @@ def attach_ladder(tm: DataFrame, ladder: DataFrame, team: str = "team_name") ->
     The table (teams x seasons x rounds) is stored and counted; up to ``MAX_LADDER`` rows it is
     broadcast, so the team rows stay where they are.
     """
-    table = first_per_key(ladder, ["team", "season", "round"], _cols(["ladder_position", "ladder_points"])).select(
+    keys = ["team", "season", "round"]
+    order = ["ladder_position", "ladder_points", "points_for", "points_against", "points_diff"]
+    table = first_per_key(ladder, keys, _cols(order)).select(
         F.col("team").alias("_team"),
         F.col("season").alias("_season"),
         F.col("round").alias("_round"),
@@ -63,14 +65,26 @@ def attach_ladder(tm: DataFrame, ladder: DataFrame, team: str = "team_name") ->
     return tm.join(table, on, "left").drop("_team", "_season", "_round")
 
 
-def lag_ladder(
-    tm: DataFrame, key: Sequence[str] = ("team_name",), order: Sequence[str] = ORDER, **scale
-) -> DataFrame:
-    """Each league column takes its value from the team's previous match."""
-    lagged = lag_values(tm, list(key), _cols(order), {f"_l_{c}": F.col(c) for c in LADDER_COLUMNS}, **scale)
-    return lagged.withColumns({c: F.col(f"_l_{c}") for c in LADDER_COLUMNS}).drop(
-        *[f"_l_{c}" for c in LADDER_COLUMNS]
+def attach_prior_ladder(tm: DataFrame, ladder: DataFrame, team: str = "team_name") -> DataFrame:
+    """League columns as they stood after the team's previous round.
+
+    The lag runs over the rounds in which a team plays, not over its matches: where a round holds several
+    matches of a team, all of them see the table of the round before, and none a table that counts its own
+    result. Rounds (teams x seasons x rounds) are stored and counted like the league table.
+    """
+    year = F.year("date").alias("_year")
+    rounds = tm.select(F.col(team), year, "round").distinct().withColumn("date", F.make_date("_year", F.lit(7), F.lit(1)))
+    held = attach_ladder(rounds, ladder, team)
+    w = Window.partitionBy(team).orderBy("_year", "round")
+    prior = held.select(
+        F.col(team).alias("_team"),
+        F.col("_year").alias("_season"),
+        F.col("round").alias("_round"),
+        *[F.lag(c).over(w).alias(c) for c in LADDER_COLUMNS],
     )
+    on = (F.col(team) == F.col("_team")) & (F.year("date") == F.col("_season")) & (F.col("round") == F.col("_round"))
+    prior = bounded_broadcast(cut(prior), MAX_LADDER)
+    return tm.join(prior, on, "left").drop("_team", "_season", "_round")
 
 
 def pair_matches(
@@ -113,11 +127,13 @@ def build_fixtures(
     competition: Column | None = None,
     round_offset: int = 0,
     names: Mapping[str, str] | DataFrame = FIXTURE_TEAM_NAMES,
+    slots: int = 100,
     **scale,
 ) -> DataFrame:
     """Fixtures in long form from a list of results.
 
-    match_id = competition * 10000 + round * 100 + running number by date and home team within the
+    match_id = (competition * 100 + round) * slots + running number by date and home team within the
+    round. A round of ``slots`` matches or more fails when it is read, so ids never run into the next
     round. ``round_offset`` corrects sources that number rounds ahead. Without season and round every
     round of the list is built.
     """
@@ -132,7 +148,10 @@ def build_fixtures(
         df = map_values(df, f"{side}_team", names)
     order = _cols(["date", "home_team", "away_team"])
     df = number_rows(df, ["competition_id", "round"], order, **scale)
-    match_id = F.col("competition_id") * 10000 + F.col("round") * 100 + F.col("_pos") + 1
+    number = F.col("_pos") + 1
+    full = F.raise_error(F.concat(F.lit(f"a round has {slots} matches or more; raise slots: round "), F.col("round")))
+    number = F.when(number < slots, number).otherwise(full.cast("long"))
+    match_id = (F.col("competition_id") * 100 + F.col("round")) * slots + number
     wide = df.select(
         "competition_id",
         match_id.cast("long").alias("match_id"),

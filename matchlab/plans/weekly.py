@@ -12,21 +12,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlab.functions.columns import week_floor
-from matchlab.functions.fixed_values import FIXTURE_TEAM_NAMES
+from matchlab.functions.fixed_values import FIXTURE_TEAM_NAMES, LADDER_NAMES, LINEUP_NAMES
 from matchlab.operators import model as M
 from matchlab.operators.keyed import first_per_key
 from matchlab.operators.names import canonical_team, resolve_lineup
 from matchlab.operators.resample import time_split
 from matchlab.operators.teams import build_fixtures, ladder_position
 from matchlab.plans.features import dated, training_frame
-from matchlab.session import cut
+from matchlab.session import bounded_broadcast, cut
 from matchlab.sources import tables as S
 from matchlab.sources.schemas import KEYS, SCHEMAS
 
+MAX_FIXTURES = 1_000_000  # matches of one round that may be broadcast
+
 
 @dataclass
 class Week:
-    """Everything one weekly run reads. Histories end before the round to predict."""
+    """Everything one weekly run reads. Histories may hold the round to predict and later ones; they are not used."""
 
     team_match: DataFrame
     player_match: DataFrame
@@ -40,10 +42,16 @@ class Week:
     round_offset: int = 0
     player_order: Sequence[str] = ("date", "match_id")
     names: Mapping[str, str] = field(default_factory=lambda: FIXTURE_TEAM_NAMES)
+    slots: int = 100
+
 
+def week_frame(week: Week, before: Column | None = None, **scale) -> DataFrame:
+    """Model frame of the history and the coming round together.
 
-def week_frame(week: Week, **scale) -> DataFrame:
-    """Model frame of the history and the coming round together."""
+    Of the histories only what was known then takes part, so a week that is run again after later rounds
+    were stored gives the same rows: matches and players before the day ``before`` and not of the fixtures
+    themselves, league tables of earlier rounds.
+    """
     fixtures = cut(
         build_fixtures(
             week.results,
@@ -52,20 +60,29 @@ def week_frame(week: Week, **scale) -> DataFrame:
             week.competition,
             week.round_offset,
             week.names,
+            week.slots,
             rows_bound=scale.get("match_bound"),
         )
     )
+    coming = bounded_broadcast(fixtures.select("match_id").distinct(), MAX_FIXTURES)
+
+    def history(df: DataFrame) -> DataFrame:
+        df = dated(df)
+        df = df if before is None else df.filter(F.col("date") < before)
+        return df.join(coming, "match_id", "left_anti")
+
+    earlier = (F.col("season") < week.season) | ((F.col("season") == week.season) & (F.col("round") < week.round))
     lineup = resolve_lineup(week.lineup, week.player_key, fixtures)
-    tm = dated(week.team_match).unionByName(fixtures.drop("season"), allowMissingColumns=True)
-    pm = dated(week.player_match).unionByName(
+    tm = history(week.team_match).unionByName(fixtures.drop("season"), allowMissingColumns=True)
+    pm = history(week.player_match).unionByName(
         lineup.withColumn("team_name", F.coalesce("team_name", "team")).drop("team"), allowMissingColumns=True
     )
-    return training_frame(tm, pm, week.ladder, week.player_order, **scale)
+    return training_frame(tm, pm, week.ladder.filter(earlier), week.player_order, **scale)
 
 
 def score_week(week: Week, as_of: Column, pipeline: Pipeline, **scale) -> DataFrame:
     """Refit on every match before the week's Tuesday and predict the matches from it on."""
-    frame = cut(week_frame(week, **scale))
+    frame = cut(week_frame(week, week_floor(as_of), **scale))
     past, coming = time_split(frame, week_floor(as_of))
     model = M.fit(pipeline, past)
     return M.score(model, coming).select("pred_a", "pred_h", "match_id", "date", "away_team", "home_team", "pick")
@@ -83,7 +100,7 @@ def append_round(spark: SparkSession, root: str, season: int, round_number: int)
     landed = f"{root}/landed/season={season}/round={round_number}"
     team = S.unnest_competition(S.snake_columns(spark.read.parquet(f"{landed}/team_match")))
     player = S.unnest_competition(S.snake_columns(spark.read.parquet(f"{landed}/player_match")))
-    ladder = S.snake_columns(spark.read.parquet(f"{landed}/ladder")).withColumns(
+    ladder = S.renamed(S.snake_columns(spark.read.parquet(f"{landed}/ladder")), LADDER_NAMES).withColumns(
         {
             "team": canonical_team(F.col("team")),
             "season": F.lit(season),
@@ -120,25 +137,25 @@ def run_week(
     append_round(spark, root, season, round_number - 1)
     read = lambda name: spark.read.parquet(f"{root}/{name}")
     now = f"{root}/landed/season={season}/round={round_number}"
+    day = F.current_date() if as_of is None else F.lit(as_of)
     pm = read("player_match")
     week = Week(
         team_match=read("team_match").drop("season"),
         player_match=pm,
         ladder=read("ladder"),
         player_key=first_per_key(
-            pm.select("player_id", "firstname", "surname", "utc_start", "match_id"),
+            pm.filter(F.col("utc_start") < week_floor(day)).select("player_id", "firstname", "surname", "utc_start", "match_id"),
             ["player_id"],
             [F.col(c) for c in ("utc_start", "match_id", "firstname", "surname")],
         ),
         results=spark.read.schema(SCHEMAS["results"]).parquet(f"{now}/results"),
-        lineup=spark.read.schema(SCHEMAS["lineup"]).parquet(f"{now}/lineup"),
+        lineup=S.renamed(S.snake_columns(spark.read.parquet(f"{now}/lineup")), LINEUP_NAMES).select(*SCHEMAS["lineup"].names),
         season=season,
         round=round_number,
         competition=None if competition is None else F.lit(competition),
         round_offset=round_offset,
         names=names,
     )
-    day = F.current_date() if as_of is None else F.lit(as_of)
     predictions = score_week(week, day, M.load_pipeline(f"{root}/workflow"), **scale)
     log_predictions(spark, f"{root}/prediction_log", predictions)
     return spark.read.schema(SCHEMAS["prediction_log"]).parquet(f"{root}/prediction_log")

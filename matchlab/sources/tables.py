@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,11 @@ def snake_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[snake_case(c) for c in df.columns])
 
 
+def renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """Columns that a source names otherwise get their table's name; names that are right already stay."""
+    return df.withColumnsRenamed({old: new for old, new in names.items() if old in df.columns and new not in df.columns})
+
+
 def read_table(
     spark: SparkSession,
     name_or_schema: str | T.StructType,
@@ -35,24 +41,41 @@ def read_table(
 ) -> DataFrame:
     """Read a table with its declared schema.
 
-    ``row_names`` is for CSV files that begin with an unnamed row-number column, which is dropped. In
-    CSV, date columns may hold UTC timestamps; they are cut to the day.
+    CSV columns are taken by their name in the header, in any order; further columns (such as
+    an unnamed row-number column, ``row_names``) are dropped, a missing column or a value that its type
+    cannot hold is an error. Date columns may hold UTC timestamps, which are cut to the day; timestamps may be
+    ISO or day/month/year hour:minute.
     """
     schema = SCHEMAS[name_or_schema] if isinstance(name_or_schema, str) else name_or_schema
     paths = path if isinstance(path, str) else list(path)
     if fmt != "csv":
         return spark.read.schema(schema).format(fmt).load(paths)
-    raw = T.StructType(
-        ([T.StructField("_row", T.StringType())] if row_names else [])
-        + [T.StructField(f.name, T.StringType() if f.dataType == T.DateType() else f.dataType) for f in schema]
-    )
-    df = spark.read.schema(raw).csv(paths, header=True, nullValue="NA", enforceSchema=True)
-    return df.select(
-        *[
-            F.to_date(F.substring(f.name, 1, 10)).alias(f.name) if f.dataType == T.DateType() else f.name
-            for f in schema
-        ]
-    )
+    parts = [spark.read.csv(p, header=True, nullValue="NA") for p in ([paths] if isinstance(paths, str) else paths)]
+    return reduce(DataFrame.unionByName, [_typed(df, schema, row_names) for df in parts])
+
+
+def _typed(raw: DataFrame, schema: T.StructType, row_names: bool) -> DataFrame:
+    names = raw.columns[1:] if row_names else raw.columns
+    if missing := [f.name for f in schema if f.name not in names]:
+        raise ValueError(f"columns missing from the header: {missing}; it has {raw.columns}")
+    if twice := [f.name for f in schema if names.count(f.name) > 1]:
+        raise ValueError(f"columns named more than once in the header: {twice}")
+
+    def value(f: T.StructField) -> Column:
+        text = F.col(f"`{f.name}`")
+        if f.dataType == T.DateType():
+            return F.to_date(F.substring(text, 1, 10))
+        if f.dataType == T.TimestampType():
+            day_first = F.coalesce(
+                F.try_to_timestamp(text, F.lit("d/M/yyyy H:mm")), F.try_to_timestamp(text, F.lit("d/M/yyyy H:mm:ss"))
+            )
+            return F.when(text.contains("/"), day_first).otherwise(F.to_timestamp(text))
+        if f.dataType in (T.LongType(), T.IntegerType()):  # whole numbers may be written as 1.0
+            plain = F.regexp_replace(F.trim(text), r"\.0+$", "")
+            return plain.cast(f.dataType)
+        return text.cast(f.dataType)
+
+    return raw.select(*[value(f).alias(f.name) for f in schema])
 
 
 def write_table(
@@ -126,9 +149,11 @@ def upsert_table(
 ) -> None:
     """Upsert into a parquet table partitioned by ``part``, rewriting only the partitions of ``new``.
 
-    ``part`` must be a function of the keys. The distinct partition values are few (seasons), so they
-    are broadcast and prune the scan; dynamic overwrite replaces those partitions at job commit.
+    ``part`` must be a function of the keys. ``new`` is stored once. Its distinct partition values are
+    counted: while they are few they are broadcast and prune the scan. Dynamic overwrite replaces those
+    partitions at job commit.
     """
+    new = cut(new)
     try:
         hist = spark.read.schema(schema).parquet(path)
         hist.limit(0).count()
@@ -136,7 +161,7 @@ def upsert_table(
         if "PATH_NOT_FOUND" not in str(e):
             raise
         hist = spark.createDataFrame([], schema)
-    touched = F.broadcast(new.select(part).distinct())
+    touched = bounded_broadcast(cut(new.select(part).distinct()), MAX_NEW_KEYS)
     merged = upsert(hist.join(touched, part, "left_semi"), new, keys)
     (
         merged.repartition(part, *keys[:1])

@@ -16,12 +16,13 @@ from matchlab.operators import form, frame, metrics, model, names, ratings, resa
 from matchlab.operators.keyed import first_per_key, player_key
 from matchlab.operators.ordered import lagged_ewma
 from matchlab.plans.features import training_frame
-from matchlab.plans.weekly import Week, score_week
+from matchlab.plans.weekly import Week, week_frame
 from matchlab.session import cut, ensure_checkpoint_dir
 from matchlab.sources import commerce as C
 from matchlab.sources.tables import (
     append_log,
     collect_extracts,
+    log_experiment,
     played_rounds,
     read_table,
     select_competitions,
@@ -97,8 +98,8 @@ def ladder_position_hot_keys(spark, sf):
 
 def _ladder_lag(spark, sf, **scale):
     tm = cut(C.team_match(spark, sf))
-    table = teams.ladder_position(C.ladder(tm), rows_bound=C.row_bound(spark, sf))
-    return teams.lag_ladder(teams.attach_ladder(tm, table), **scale).select("match_id", "team_name", *LADDER_COLUMNS)
+    table = teams.ladder_position(C.ladder(tm), **scale)
+    return teams.attach_prior_ladder(tm, table).select("match_id", "team_name", *LADDER_COLUMNS)
 
 
 @query
@@ -108,7 +109,7 @@ def ladder_join_lag(spark, sf):
 
 @query
 def ladder_lag_hot_keys(spark, sf):
-    return _ladder_lag(spark, sf, hot_rows=100)
+    return _ladder_lag(spark, sf, hot_rows=10)
 
 
 @query
@@ -358,9 +359,10 @@ def lineup_resolution(spark, sf):
         .when(F.col("p_type") == "PROMO", "Reserve")
         .otherwise("Prop")
     )
+    suppliers = C.row_bound(spark, sf, "supplier")
     raw = (
         C.table(spark, sf, "supplier")
-        .join(C.table(spark, sf, "part"), F.col("p_partkey") == F.col("s_suppkey"))
+        .join(C.table(spark, sf, "part"), F.col("p_partkey") % suppliers + 1 == F.col("s_suppkey"))
         .join(nation, F.col("n_nationkey") == F.col("s_nationkey"))
         .select(
             first.alias("firstname"),
@@ -380,6 +382,9 @@ def lineup_resolution(spark, sf):
     return out.select("player_id", "firstname", "surname", "team", "position", "team_name", "match_id")
 
 
+FIXTURE_SLOTS = 100_000_000
+
+
 def _results(spark, sf):
     return matches(C.team_match(spark, sf)).select(
         "season",
@@ -392,7 +397,8 @@ def _results(spark, sf):
 
 
 def _fixture_ids(spark, sf, **scale):
-    return teams.build_fixtures(_results(spark, sf), competition=F.col("season"), **scale)
+    # a round of these tables is a month with more than a hundred matches
+    return teams.build_fixtures(_results(spark, sf), competition=F.col("season"), slots=FIXTURE_SLOTS, **scale)
 
 
 @query
@@ -545,41 +551,56 @@ def zero_variance_filter(spark, sf):
     return out.select("predictor", *on_grid(["low"], 3), *on_grid(["high"], 3), "keep")
 
 
-SMALL = {"tree_depth": 3, "min_n": 10, "learn_rate": 0.1, "sample_size": 0.8, "mtry": 12, "loss_reduction": 0.0}
+STUMP_PREDICTORS = ["round", "weekday", "away_nation"]
 
 
-def _split(spark, sf):
-    data = cut(build_frame(spark, sf))
-    first, last = data.agg(F.min("date"), F.max("date")).first()
-    return data, *resample.time_split(data, F.lit(first + (last - first) * 0.9))
+def _stump(spark, sf):
+    """One tree of depth 1 on whole-number predictors: a model whose scores SQL can state exactly."""
+    rows = cut(
+        matches(C.team_match(spark, sf)).select(
+            "match_id",
+            "date",
+            F.col("team_home").alias("home_team"),
+            F.col("team_away").alias("away_team"),
+            F.col("round").cast("double").alias("round"),
+            F.dayofweek("date").cast("double").alias("weekday"),
+            F.length("team_away").cast("double").alias("away_nation"),
+            result_code(F.col("score_home"), F.col("score_away"), "label").alias("result"),
+        )
+    )
+    pipeline = model.build_pipeline(STUMP_PREDICTORS, params={"tree_depth": 1, "learn_rate": 0.1}, trees=1)
+    path = _scratch(spark)
+    model.save_model(model.fit(pipeline, rows, STUMP_PREDICTORS), path)
+    return model.load_model(path), rows
 
 
 @query
-def gbt_predictions(spark, sf):
-    _, past, coming = _split(spark, sf)
-    fitted = model.fit(model.build_pipeline(params=SMALL, trees=10), past)
-    scored = model.score(fitted, coming)
-    return scored.select("pred_a", "pred_h", "match_id", "date", "away_team", "home_team", "pick")
+def gbt_stump_scores(spark, sf):
+    """Fit, store, load, score and pick."""
+    fitted, rows = _stump(spark, sf)
+    out = model.score(fitted, rows)
+    return out.select("match_id", "date", "home_team", "away_team", *on_grid(["pred_a", "pred_h"], 9), "pick")
 
 
 @query
-def gbt_tuning(spark, sf):
-    data = cut(build_frame(spark, sf))
-    grid = cut(model.param_table(spark, {**model.PARAM_RANGES, "tree_depth": (2, 4)}, size=2))
-    found, _ = model.tune(data, grid, folds=2, trees=3)
-    return found
+def gbt_stump_importance(spark, sf):
+    fitted, rows = _stump(spark, sf)
+    return model.importance(fitted, rows)
 
 
 @query
-def variable_importance(spark, sf):
-    data, past, _ = _split(spark, sf)
-    fitted = model.fit(model.build_pipeline(params=SMALL, trees=10), past)
-    return model.importance(fitted, data)
+def experiment_log(spark, sf):
+    """Two runs logged with the log loss of the odds, read back without their time."""
+    path = _scratch(spark)
+    loss = metrics.odds_logloss(C.odds(C.team_match(spark, sf))).first()["logloss"]
+    for scheme in ("closing odds", "closing odds, again"):
+        log_experiment(spark, path, algorithm="devig", feature_set="odds", resample_scheme=scheme, logloss=loss)
+    back = read_table(spark, "experiments_log", path, "csv").filter(F.col("timestamp").isNotNull())
+    return back.select("algorithm", "feature_set", "resample_scheme", *on_grid(["logloss"], 8))
 
 
-@query
-def weekly_scoring(spark, sf):
-    """A week before the last match: history before its Tuesday, the rest of that round to predict."""
+def _week(spark, sf):
+    """A week before the last match: the tables as stored, the rest of that round to predict."""
     bound = C.row_bound(spark, sf)
     tm = cut(C.team_match(spark, sf))
     pm = C.player_match(spark, sf, tm)
@@ -587,14 +608,13 @@ def weekly_scoring(spark, sf):
     day = last - dt.timedelta(days=7)
     as_of = F.lit(day)
     cutoff = week_floor(as_of)
-    hist_tm, hist_pm = tm.filter(F.col("date") < cutoff), pm.filter(F.col("date") < cutoff)
     coming = matches(tm).filter(F.col("date") >= cutoff)
     lineup = pm.filter(F.col("date") >= cutoff).select(
         "firstname", "surname", "position", F.col("team_name").alias("team")
     )
     week = Week(
-        team_match=hist_tm.drop("season"),
-        player_match=hist_pm,
+        team_match=tm.drop("season"),
+        player_match=pm,
         ladder=teams.ladder_position(C.ladder(tm), rows_bound=bound),
         player_key=_name_key(spark, sf),
         results=coming.select("season", "round", "date", F.col("team_home").alias("home_team"), F.col("team_away").alias("away_team")),
@@ -603,7 +623,18 @@ def weekly_scoring(spark, sf):
         round=day.month,
         competition=F.col("season"),
         player_order=C.PLAYER_ORDER,
+        slots=FIXTURE_SLOTS,
     )
-    match_bound = C.row_bound(spark, sf, "orders")
-    pipeline = model.build_pipeline(params=SMALL, trees=10)
-    return score_week(week, as_of, pipeline, rows_bound=bound, match_bound=match_bound)
+    return week, as_of
+
+
+@query
+def weekly_ratings(spark, sf):
+    """Coming matches of a week, with the ratings and league differences of their frame rows."""
+    week, as_of = _week(spark, sf)
+    bound, match_bound = C.row_bound(spark, sf), C.row_bound(spark, sf, "orders")
+    frame_rows = week_frame(week, week_floor(as_of), rows_bound=bound, match_bound=match_bound)
+    out = frame_rows.filter(F.col("date") >= week_floor(as_of))
+    diffs = [f"{c}_diff" for c in LADDER_COLUMNS]
+    probs = [c for c in out.columns if c.endswith("prhome")]
+    return out.select("match_id", "date", "home_team", "away_team", *on_grid(diffs, 6), *on_grid(probs, 6))

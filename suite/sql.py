@@ -77,11 +77,18 @@ ladder AS (
             ORDER BY ladder_points DESC, points_diff DESC, team) AS INTEGER) AS ladder_position
   FROM ladder0)"""
 
-WITH_LADDER = """with_ladder AS (
-  SELECT t.*, l.ladder_points, l.points_for AS ladder_points_for, l.points_against AS ladder_points_against,
-         l.points_diff AS ladder_points_diff, l.ladder_position
-  FROM team_match t LEFT JOIN ladder l
-    ON regexp_extract(t.team_name, '(\\w+)$', 1) = l.team AND year(t.date) = l.season AND t.round = l.round)"""
+# the league table after the team's previous round
+WITH_LADDER = f"""played AS (SELECT DISTINCT team_name, year(date) AS y, round FROM team_match),
+prior AS (
+  SELECT p.team_name, p.y, p.round, lag(l.ladder_points) OVER w AS ladder_points, lag(l.points_for) OVER w AS ladder_points_for,
+         lag(l.points_against) OVER w AS ladder_points_against, lag(l.points_diff) OVER w AS ladder_points_diff,
+         lag(l.ladder_position) OVER w AS ladder_position
+  FROM played p LEFT JOIN ladder l
+    ON regexp_extract(p.team_name, '(\\w+)$', 1) = l.team AND p.y = l.season AND p.round = l.round
+  WINDOW w AS (PARTITION BY p.team_name ORDER BY p.y, p.round)),
+with_ladder AS (
+  SELECT t.*, {", ".join(LADDER_COLUMNS)}
+  FROM team_match t JOIN prior p ON t.team_name = p.team_name AND year(t.date) = p.y AND t.round = p.round)"""
 
 MATCHES = """matches AS (
   SELECT h.match_id, h.season, h.round, h.date, h.team_name AS team_home, a.team_name AS team_away,
@@ -181,7 +188,7 @@ TEAM_FEATURES = f"""team_features AS (
   SELECT match_id, team_name, score AS result,
          date - lag(date) OVER (PARTITION BY competition_id, team_name ORDER BY date, match_id) AS days_rest,
          {", ".join(f"{ewma(c, TEAM_W)} AS {c}" for c in TEAM_STATS)},
-         {", ".join(f"lag({c}) OVER ({TEAM_W}) AS {c}" for c in LADDER_COLUMNS)}
+         {", ".join(LADDER_COLUMNS)}
   FROM with_ladder)"""
 
 
@@ -224,7 +231,7 @@ ORACLES["ladder_position"] = ORACLES["ladder_position_hot_keys"] = f"""WITH {TEA
 SELECT team, season, round, ladder_points, points_for, points_against, points_diff, ladder_position FROM ladder"""
 
 ORACLES["ladder_join_lag"] = ORACLES["ladder_lag_hot_keys"] = f"""WITH {TEAM}, {LADDER}, {WITH_LADDER}
-SELECT match_id, team_name, {", ".join(f"lag({c}) OVER ({TEAM_W}) AS {c}" for c in LADDER_COLUMNS)} FROM with_ladder"""
+SELECT match_id, team_name, {", ".join(LADDER_COLUMNS)} FROM with_ladder"""
 
 ORACLES["pair_matches"] = f"""WITH {TEAM}, {MATCHES}
 SELECT match_id, round, date, team_home, team_away, score_home, score_away FROM matches"""
@@ -308,7 +315,7 @@ raw AS (
          split_part(p_name, ' ', 2) || CASE WHEN s_nationkey % 3 = 0 THEN 's' ELSE '' END AS surname,
          CASE p_type WHEN 'SMALL' THEN 'Winger' WHEN 'LARGE' THEN '2nd' WHEN 'PROMO' THEN 'Reserve' ELSE 'Prop' END AS role,
          n_name AS team
-  FROM supplier JOIN part ON p_partkey = s_suppkey JOIN nation ON n_nationkey = s_nationkey),
+  FROM supplier JOIN part ON p_partkey % (SELECT count(*) FROM supplier) + 1 = s_suppkey JOIN nation ON n_nationkey = s_nationkey),
 used AS (
   SELECT row_number() OVER () AS row_id, firstname, surname, team,
          CASE role WHEN 'Winger' THEN 'Wing' WHEN '2nd' THEN 'Second Row' ELSE role END AS position
@@ -327,7 +334,7 @@ FROM (SELECT * FROM exact UNION ALL SELECT * FROM fuzzy) x LEFT JOIN games USING
 ORACLES["fixture_ids"] = ORACLES["fixture_ids_hot_keys"] = f"""WITH {TEAM}, {MATCHES},
 numbered AS (
   SELECT CAST(season AS BIGINT) AS competition_id, season, round, date, team_home, team_away,
-         CAST(season * 10000 + round * 100 + row_number() OVER (PARTITION BY season, round
+         CAST((season * 100 + round)::BIGINT * 100000000 + row_number() OVER (PARTITION BY season, round
               ORDER BY date, team_home, team_away) AS BIGINT) AS match_id FROM matches)
 SELECT competition_id, match_id, season, round, date, 'home' AS team_location, team_home AS team_name FROM numbered
 UNION ALL SELECT competition_id, match_id, season, round, date, 'away', team_away FROM numbered"""
@@ -351,7 +358,7 @@ scored AS (
          CASE WHEN score_home > score_away THEN 1.0 ELSE 0.0 END::DOUBLE AS result FROM matches)
 SELECT season, {q(f"avg({LOSS})", 8)} AS logloss,
        {q("avg(CASE WHEN (p > 0.5) = (result = 1) THEN 1.0 ELSE 0.0 END)", 8)} AS accuracy,
-       {q("2.0 * count(*) FILTER (result = 0 AND p <= 0.5) / (count(*) FILTER (result = 0) + count(*) FILTER (p <= 0.5))", 8)} AS f_meas,
+       {q("CASE WHEN count(*) FILTER (p <= 0.5) > 0 THEN 2.0 * count(*) FILTER (result = 0 AND p <= 0.5) / (count(*) FILTER (result = 0) + count(*) FILTER (p <= 0.5)) END", 8)} AS f_meas,
        count(*) AS n
 FROM scored GROUP BY season"""
 
@@ -410,8 +417,8 @@ scored AS (
 folds AS (
   SELECT round, season, avg({LOSS}) AS logloss,
          avg(CASE WHEN (p > 0.5) = (result = 1) THEN 1.0 ELSE 0.0 END) AS accuracy,
-         2.0 * count(*) FILTER (result = 0 AND p <= 0.5)
-           / nullif(count(*) FILTER (result = 0) + count(*) FILTER (p <= 0.5), 0) AS f_meas
+         CASE WHEN count(*) FILTER (p <= 0.5) > 0 THEN 2.0 * count(*) FILTER (result = 0 AND p <= 0.5)
+           / (count(*) FILTER (result = 0) + count(*) FILTER (p <= 0.5)) END AS f_meas
   FROM scored GROUP BY ALL),
 long AS (
   SELECT round, 'logloss' AS metric, logloss AS v FROM folds
@@ -423,3 +430,58 @@ ORACLES["select_competitions"] = """SELECT p_partkey AS id, p_name AS name, p_si
 WHERE (p_name LIKE '%widget%' OR p_name LIKE '%bolt%') AND p_size >= 16"""
 
 ORACLES["played_rounds"] = f"""WITH {TEAM}, {MATCHES} SELECT DISTINCT round FROM matches WHERE score_home > score_away"""
+
+STUMP = f"""{TEAM}, {MATCHES},
+x AS (SELECT match_id, date, team_home, team_away, CASE WHEN score_home > score_away THEN 1.0 ELSE -1.0 END::DOUBLE AS y,
+             round::DOUBLE AS round, dayofweek(date) + 1.0 AS weekday, length(team_away)::DOUBLE AS away_nation FROM matches),
+long AS (SELECT 0 AS f, 'round' AS variable, round AS v, y FROM x UNION ALL SELECT 1, 'weekday', weekday, y FROM x
+         UNION ALL SELECT 2, 'away_nation', away_nation, y FROM x),
+per AS (SELECT f, variable, v, count(*) AS n, sum(y) AS s FROM long GROUP BY ALL),
+run AS (SELECT f, variable, v, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER (PARTITION BY f) AS n, sum(s) OVER (PARTITION BY f) AS s
+        FROM per WINDOW w AS (PARTITION BY f ORDER BY v)),
+split AS (SELECT f, variable, v, sl / nl AS ml, (s - sl) / (n - nl) AS mr,
+                 nl / n * (sl / nl) * (sl / nl) + (n - nl) / n * ((s - sl) / (n - nl)) * ((s - sl) / (n - nl)) AS gain
+          FROM run WHERE nl < n ORDER BY gain DESC, f, v LIMIT 1)"""
+
+ORACLES["gbt_stump_scores"] = f"""WITH {STUMP},
+scored AS (SELECT x.*, 1 / (1 + exp(-2 * CASE WHEN CASE split.f WHEN 0 THEN round WHEN 1 THEN weekday ELSE away_nation END <= split.v
+                                              THEN ml ELSE mr END)) AS pred_h FROM x, split)
+SELECT match_id, date, team_home AS home_team, team_away AS away_team, {q("1 - pred_h", 9)} AS pred_a, {q("pred_h", 9)} AS pred_h,
+       CASE WHEN pred_h > 1 - pred_h THEN team_home ELSE team_away END AS pick
+FROM scored"""
+
+ORACLES["gbt_stump_importance"] = f"""WITH {STUMP}
+SELECT DISTINCT long.variable, (long.variable = split.variable)::INT::DOUBLE AS importance FROM long, split"""
+
+ORACLES["experiment_log"] = f"""WITH {TEAM}, {MATCHES}, {_ODDS},
+fair AS (SELECT result, (1 / home_odds_close) / (1 / home_odds_close + 1 / away_odds_close) AS p FROM odds)
+SELECT 'devig' AS algorithm, 'odds' AS feature_set, unnest(['closing odds', 'closing odds, again']) AS resample_scheme, logloss
+FROM (SELECT {q(f"avg({LOSS})", 8)} AS logloss FROM fair)"""
+
+
+def _weekly_ratings() -> str:
+    probs = [("", 22), ("short", 10), ("long", 40)]
+    history = elo_cte("VALUES (22), (10), (40)").replace("FROM matches)", "FROM matches WHERE date < (SELECT cutoff FROM week))")
+    side = lambda c: f"{q(f'coalesce(h.{c}, 0) - coalesce(a.{c}, 0)', 6)} AS {c}_diff"
+    at = lambda s: f"l.s[f.{s}]"
+    p = f"1 / (1 + pow(10::DOUBLE, ({at('ta')} - {at('th')}) / 400))"
+    value = lambda k: q(f"max({p}) FILTER (l.k = {k})", 6)
+    return f"""WITH RECURSIVE {TEAM}, {LADDER}, {WITH_LADDER}, {MATCHES},
+day AS (SELECT max(date) - 7 AS day FROM team_match),
+week AS (SELECT day, day - CAST((dayofweek(day) + 5) % 7 AS INTEGER) AS cutoff FROM day),
+fixtures AS (
+  SELECT CAST((season * 100 + round)::BIGINT * 100000000 + row_number() OVER (PARTITION BY season, round ORDER BY date, team_home, team_away) AS BIGINT) AS fid,
+         date, season, round, team_home, team_away, th, ta
+  FROM matches, week WHERE date >= cutoff AND season = year(day) AND round = month(day)),
+{history},
+final AS (SELECT k, s FROM rated WHERE i = (SELECT max(i) FROM rated))
+SELECT f.fid AS match_id, f.date, f.team_home AS home_team, f.team_away AS away_team,
+       {", ".join(side(c) for c in LADDER_COLUMNS)}, {", ".join(f"{value(k)} AS {n}prhome" for n, k in probs)}
+FROM fixtures f
+JOIN prior h ON h.team_name = f.team_home AND h.y = f.season AND h.round = f.round
+JOIN prior a ON a.team_name = f.team_away AND a.y = f.season AND a.round = f.round
+CROSS JOIN final l
+GROUP BY ALL"""
+
+
+ORACLES["weekly_ratings"] = _weekly_ratings()

@@ -7,7 +7,7 @@ from matchlab.operators.form import group_scale, player_rates
 from matchlab.operators.frame import DIFF_FEATURES, PREDICTORS, join_team_features, model_frame, team_rollup
 from matchlab.operators.keyed import first_per_key
 from matchlab.operators.metrics import devig
-from matchlab.operators.teams import attach_ladder, pair_matches, rest_days, unpivot_sides
+from matchlab.operators.teams import attach_ladder, attach_prior_ladder, pair_matches, rest_days, unpivot_sides
 
 
 def test_the_frame_has_36_predictors():
@@ -79,6 +79,22 @@ def test_rest_days_and_ladder_join(spark):
     assert joined == {1: 1, 2: None, 3: None}
 
 
+def test_league_columns_never_count_the_present_round(spark):
+    """Three matches of a team in one round: all see the table after its previous round."""
+    games = [(k, "X Storm", f"2020-0{1 + k // 3}-0{1 + k % 3}", 1 + k // 3) for k in range(9)] + [(20, "X Storm", "2021-05-01", 5)]
+    tm = spark.createDataFrame(games, "match_id long, team_name string, date string, round int").withColumn("date", F.to_date("date"))
+    schema = "team string, ladder_points double, points_for double, points_against double, points_diff double, season int, round int, ladder_position int"
+    tables = [("Storm", 10.0 * r, 1.0, 1.0, 0.0, 2020, r, r) for r in (1, 2, 3)]
+
+    def points(rows):
+        return {r.match_id: r.ladder_points for r in attach_prior_ladder(tm, spark.createDataFrame(rows, schema)).collect()}
+
+    want = {k: None if k < 3 else 10.0 * (k // 3) for k in range(9)} | {20: 30.0}
+    assert points(tables) == want
+    changed = points([*tables[:2], ("Storm", 99.0, 9.0, 9.0, 9.0, 2020, 3, 1)])
+    assert {k: v for k, v in changed.items() if k < 9} == {k: v for k, v in want.items() if k < 9}
+
+
 def team_rows(spark, swap=False):
     def row(side, v, score):
         return (1, side, f"{side} team", score, 0.6, 0.6, 0.6, *[v + i for i in range(len(DIFF_FEATURES))])

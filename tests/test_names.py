@@ -75,3 +75,19 @@ def test_team_names_and_alias_tables(spark):
     assert got == ["Tigers", "Eagles", "Eagles", "Raiders", "x!"]
     table = local_alias_table(spark, {"Raiders": "R"})
     assert {r.t for r in map_values(df, "t", table).collect()} >= {"R", "x!"}
+
+
+def test_several_aliases_of_a_value_do_not_multiply_rows(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "x string")
+    aliases = spark.createDataFrame([("a", "z"), ("a", "y")], "value string, mapped string")
+    assert sorted(map(str, (r.x for r in map_values(df, "x", aliases).collect()))) == ["None", "b", "y"]
+
+
+def test_a_common_surname_alone_pairs_nobody(spark):
+    left = spark.createDataFrame([(f"{chr(97 + i % 26) * 5}{i:04d}", "smith") for i in range(400)], "firstname string, surname string")
+    right = spark.createDataFrame([(f"{chr(97 + i % 26) * 5}{i:04d}", "smith") for i in range(400)], "firstname string, surname string")
+    out = fuzzy_left_join(left, right, ["surname", "firstname"], 0.01)
+    rows = out.collect()
+    assert len(rows) == 400 and all(r.firstname == r.firstname_right for r in rows)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" not in plan and "CartesianProduct" not in plan

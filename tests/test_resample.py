@@ -51,3 +51,12 @@ def test_fixture_ids(spark):
     got = sorted((r.match_id, r.team_location, r.team_name, r.round) for r in out.collect())
     assert got[:2] == [(129990801, "away", "Canberra Raiders", 8), (129990801, "home", "Wests Tigers", 8)]
     assert got[-1] == (129990803, "home", "Brisbane Broncos", 8) and len(got) == 6
+
+
+def test_fixture_ids_are_unique_or_fail(spark):
+    rows = [(2026, r, f"2026-01-{1 + n % 28:02d}", f"h{n}", f"a{n}") for r in (1, 2) for n in range(150)]
+    res = spark.createDataFrame(rows, "season int, round int, date string, home_team string, away_team string").withColumn("date", F.to_date("date"))
+    out = build_fixtures(res, competition=F.lit(3), slots=1000)
+    assert out.select("match_id").distinct().count() == 300
+    with pytest.raises(Exception, match="raise slots"):
+        build_fixtures(res, competition=F.lit(3)).collect()

@@ -37,6 +37,26 @@ def test_csv_with_row_names_and_timestamps(spark, tmp_path):
     assert rows[0].match_id == 7 and rows[1].score is None and rows[1].goal_line_dropouts == 2.0
 
 
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    path = tmp_path / "key.csv"
+    path.write_text("player_id,surname,firstname,extra\n7,Smith,Ann,x\n8.0,Ng,Bo,y\n")
+    rows = read_table(spark, "player_key", str(path), "csv").orderBy("player_id").collect()
+    assert [tuple(r) for r in rows] == [(7, "Ann", "Smith"), (8, "Bo", "Ng")]
+    path.write_text("player_id,surname\n7,Smith\n")
+    with pytest.raises(ValueError, match="firstname"):
+        read_table(spark, "player_key", str(path), "csv")
+    path.write_text("player_id,surname,firstname\nseven,Smith,Ann\n")
+    with pytest.raises(Exception, match="seven"):
+        read_table(spark, "player_key", str(path), "csv").collect()
+
+
+def test_log_times_in_both_formats(spark, tmp_path):
+    path = tmp_path / "log.csv"
+    path.write_text("timestamp,algorithm,feature_set,resample_scheme,logloss,notes\n24/11/2025 9:05,a,b,c,0.5,\n2025-11-25T10:00:00Z,a,b,c,NA,n\n")
+    rows = read_table(spark, "experiments_log", str(path), "csv").orderBy("timestamp").collect()
+    assert [r.timestamp for r in rows] == [dt.datetime(2025, 11, 24, 9, 5), dt.datetime(2025, 11, 25, 10, 0)]
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_write_and_append(spark, tmp_path, fmt):
     path = str(tmp_path / "log")
