@@ -113,11 +113,12 @@ class Model:
         near = np.where(_SEEN, np.exp(self.distance)[np.clip(_BACK, 0, CONTEXT - 1)], 0).astype(np.float32)
         return q, k, g, np.ascontiguousarray(e, np.float32), v, near
 
-    def forward(self, windows: np.ndarray, tables):
-        """Class log probabilities (rows of windows times SPAN) and what the gradient needs. windows: classes of KEYS tokens each."""
+    def _logits(self, windows: np.ndarray, tables):
+        """Class logits (rows of windows times SPAN) and what the gradient needs. windows: classes of KEYS tokens each."""
         _, _, _, e, v, near = tables
+        windows = windows.astype(np.intp)
         cq = windows[:, CONTEXT - 1 :]
-        pair = cq[:, :, None].astype(np.int32) * (CLASSES + 2) + windows[:, None, :]
+        pair = (cq * (CLASSES + 2))[:, :, None] + windows[:, None, :]
         a = np.take(e.ravel(), pair)
         a *= near
         vk = v[windows]
@@ -127,30 +128,41 @@ class Model:
         h = (self.embed[cq] + att).reshape(-1, WIDTH)
         z = h @ self.out
         z += self.bias
-        z -= z.max(1, keepdims=True)
-        p = np.exp(z)
-        total = p.sum(1, keepdims=True)
-        return z - np.log(total), (cq, pair, a, vk, den, att, h, p, total)
+        np.minimum(z, 80, out=z)  # so that no sum of exponentials overflows
+        return z, (cq, windows, pair, a, vk, den, att, h)
+
+    def forward(self, windows: np.ndarray, tables):
+        """Log probabilities of all classes, and what the gradient needs."""
+        z, held = self._logits(windows, tables)
+        return z - np.log(np.exp(z).sum(1, keepdims=True)), held
+
+    def target_logp(self, windows: np.ndarray, target: np.ndarray, tables) -> np.ndarray:
+        """Log probability of one class per row of forward()."""
+        z, _ = self._logits(windows, tables)
+        own = z[np.arange(len(target)), target]
+        return own - np.log(np.exp(z, out=z).sum(1))
 
     def gradient(self, windows: np.ndarray, target: np.ndarray, real: np.ndarray) -> tuple[float, "Model"]:
         """Mean negative log likelihood of the real targets and its gradient."""
-        tables = q, k, g, e, v, near = self.tables()
-        logp, (cq, pair, a, vk, den, att, h, p, total) = self.forward(windows, tables)
+        tables = q, k, g, _, _, _ = self.tables()
+        z, (cq, windows, pair, a, vk, den, att, h) = self._logits(windows, tables)
         n = max(1, int(real.sum()))
         rows = np.arange(len(target))
-        loss = -float(logp[rows, target][real].sum()) / n
-        dz = p / total
-        dz[rows, target] -= 1
-        dz *= (real / np.float32(n)).astype(np.float32)[:, None]
+        own = z[rows, target]
+        dz = np.exp(z, out=z)
+        total = dz.sum(1)
+        loss = -float((own - np.log(total))[real].sum()) / n
+        dz *= (real / np.float32(n) / total)[:, None].astype(dz.dtype)
+        dz[rows, target] -= (real / np.float32(n)).astype(dz.dtype)
         d_out, d_bias = h.T @ dz, dz.sum(0)
         dh = (dz @ self.out.T).reshape(att.shape)
         d_embed = _scatter(cq.ravel(), dh.reshape(-1, WIDTH))
         ds = np.concatenate([dh / den, -(dh * att).sum(2, keepdims=True) / den], 2)
         da = ds @ vk.transpose(0, 2, 1)
         dv = _scatter(windows.ravel(), (a.transpose(0, 2, 1) @ ds).reshape(-1, WIDTH + 1))[:, :-1]
-        dl = da * a
-        d_distance = np.bincount(_BACK[_SEEN], weights=dl.sum(0)[_SEEN], minlength=CONTEXT).astype(np.float32)
-        dg = np.bincount(pair.ravel(), weights=dl.ravel(), minlength=(CLASSES + 2) ** 2).reshape(CLASSES + 2, -1).astype(np.float32)
+        da *= a
+        d_distance = np.bincount(_BACK[_SEEN], weights=da.sum(0)[_SEEN], minlength=CONTEXT).astype(np.float32)
+        dg = np.bincount(pair.ravel(), weights=da.ravel(), minlength=(CLASSES + 2) ** 2).reshape(CLASSES + 2, -1).astype(np.float32)
         dg[np.abs(g) >= 15] = 0
         dg *= np.float32(WIDTH**-0.5)
         dq, dk = dg @ k, dg.T @ q
@@ -160,8 +172,10 @@ class Model:
 
 def _scatter(cls: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Sum of the rows of each class."""
-    order = np.argsort(cls, kind="stable")
-    held, first = np.unique(cls[order], return_index=True)
+    order = np.argsort(cls.astype(np.uint8), kind="stable")  # a radix sort
+    count = np.bincount(cls, minlength=CLASSES + 2)
+    held = np.flatnonzero(count)
+    first = (np.cumsum(count) - count)[held]
     out = np.zeros((CLASSES + 2, rows.shape[1]), np.float32)
     out[held] = np.add.reduceat(rows[order], first, axis=0)
     return out
@@ -264,11 +278,11 @@ def log_likelihoods(model: Model, cls: np.ndarray, members: np.ndarray, blobs: l
         before = np.concatenate([[CLASSES], c[:-1]]).astype(np.int64)
         before[first[:-1][first[:-1] < len(c)]] = CLASSES
         each = members[ids, before].astype(np.float64)
-        for k in range(0, len(w), 2048):
-            t, goal = token[k * SPAN : (k + 2048) * SPAN], target[k * SPAN : (k + 2048) * SPAN]
-            real = np.flatnonzero(t >= 0)
-            logp, _ = model.forward(w[k : k + 2048], tables)
-            each[t[real]] += logp[real, goal[real]]
+        for k in range(0, len(w), BATCH):
+            t = token[k * SPAN : (k + BATCH) * SPAN]
+            real = t >= 0
+            logp = model.target_logp(w[k : k + BATCH], np.where(real, target[k * SPAN : (k + BATCH) * SPAN], 0), tables)
+            each[t[real]] += logp[real]
         text = np.repeat(np.arange(j - i), np.diff(first))
         out[i:j] = np.bincount(text, weights=each, minlength=j - i)
     return out / np.log(10)
