@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from matchlab.llm import textkit
 from matchlab.llm.storage import filesystem, put, shared_folder, store
 
-#: Mask values: padding, a token, the first token of a document.
-PAD, TOKEN, FIRST = 0, 1, 2
-
 _tokenizers: dict[str, "PieceTokenizer"] = {}
 
 
@@ -92,7 +89,8 @@ def encode_batch(column: pa.Array, path: str) -> Iterator[tuple[int, int, np.nda
 
 
 def file_schema(length: int, ids: pa.DataType) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(ids, length)), ("mask", pa.list_(pa.uint8(), length)), ("doc_ids", pa.list_(pa.int64()))])
+    """ids and mask (true for tokens, false for padding) are of one length; doc_ids and starts list the documents that begin in a sequence and where."""
+    return pa.schema([("ids", pa.list_(ids, length)), ("mask", pa.list_(pa.bool_(), length)), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int32()))])
 
 
 class _Packer:
@@ -100,13 +98,10 @@ class _Packer:
 
     def __init__(self, length: int, ids: pa.DataType, rows: int = 512):
         self.length, self.schema, self.block = length, file_schema(length, ids), length * rows
-        self.ids, self.mask, self.docs, self.at, self.held = [], [], [], [], 0
+        self.ids, self.docs, self.at, self.held = [], [], [], 0
 
     def add(self, ids: np.ndarray, first: np.ndarray, docs: list) -> Iterator[pa.RecordBatch]:
-        mask = np.full(len(ids), TOKEN, np.uint8)
-        mask[first[:-1]] = FIRST
         self.ids.append(ids)
-        self.mask.append(mask)
         self.docs += docs
         self.at.append(first[:-1] + self.held)
         self.held += len(ids)
@@ -115,20 +110,22 @@ class _Packer:
 
     def take(self, n: int) -> pa.RecordBatch:
         """The first n held tokens as a batch; beyond what is held, padding."""
-        ids, mask, at = np.concatenate(self.ids), np.concatenate(self.mask), np.concatenate(self.at)
+        ids, at = np.concatenate(self.ids), np.concatenate(self.at)
+        mask = np.arange(n) < len(ids)
         if n > len(ids):
-            ids, mask = np.pad(ids, (0, n - len(ids))), np.pad(mask, (0, n - len(mask)))
-        starts = np.searchsorted(at, np.arange(0, n + 1, self.length))
-        k = int(starts[-1])
+            ids = np.pad(ids, (0, n - len(ids)))
+        starts = pa.array(np.searchsorted(at, np.arange(0, n + 1, self.length)), pa.int32())
+        k = starts[-1].as_py()
         batch = pa.RecordBatch.from_arrays(
             [
                 pa.FixedSizeListArray.from_arrays(pa.array(ids[:n]), self.length),
-                pa.FixedSizeListArray.from_arrays(pa.array(mask[:n]), self.length),
-                pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(self.docs[:k], pa.int64())),
+                pa.FixedSizeListArray.from_arrays(pa.array(mask), self.length),
+                pa.ListArray.from_arrays(starts, pa.array(self.docs[:k], pa.int64())),
+                pa.ListArray.from_arrays(starts, pa.array(at[:k] % self.length, pa.int32())),
             ],
             schema=self.schema,
         )
-        self.ids, self.mask, self.docs, self.at, self.held = [ids[n:]], [mask[n:]], self.docs[k:], [at[k:] - n], len(ids) - n
+        self.ids, self.docs, self.at, self.held = [ids[n:]], self.docs[k:], [at[k:] - n], max(0, self.held - n)
         return batch
 
 
@@ -137,8 +134,8 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, length: int
 
     Rows are dealt to range partitions by id and sorted there; each partition becomes one Arrow file, so `part`
     orders the files. A file holds batches of fixed-size lists: ids (the smallest unsigned type for the
-    vocabulary), mask (0 padding, 1 token, 2 first token of a document) and the ids of the documents that
-    begin in each sequence. Only the last sequence of a file is padded. Documents do not span files.
+    vocabulary) and their mask, with the ids and places of the documents that begin in each sequence
+    (file_schema). Only the last sequence of a file is padded. Documents do not span files.
 
     A null text is an empty one and is written as its end id. A null id is written as null and sorts first.
     Equal ids are ordered by text; repeated rows are all written. An empty table gives no files. Extra columns are ignored.
@@ -185,13 +182,13 @@ def documents_in(reader) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     names, rest = [], np.zeros(0, np.uint32)
     for k in range(reader.num_record_batches):
         b = reader.get_batch(k)
-        ids, mask = (b.column(c).flatten().to_numpy() for c in ("ids", "mask"))
+        ids, mask = (b.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("ids", "mask"))
         names += b.column("doc_ids").flatten().to_pylist()
-        real = mask != PAD
-        at = np.flatnonzero(mask[real] == FIRST) + len(rest)
+        row = np.repeat(np.arange(b.num_rows), np.diff(b.column("starts").offsets.to_numpy()))
+        at = row * (len(ids) // max(1, b.num_rows)) + b.column("starts").flatten().to_numpy() + len(rest)
         if len(rest):
             at = np.concatenate([[0], at])
-        ids = np.concatenate([rest.astype(ids.dtype), ids[real]])
+        ids = np.concatenate([rest.astype(ids.dtype), ids[mask]])
         last = k == reader.num_record_batches - 1
         cut = len(ids) if last else int(at[-1])
         whole = len(at) if last else len(at) - 1
