@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlab.llm import textkit
+from matchlab.llm.storage import store
+from matchlab.session import bounded_broadcast
 
 
 @dataclass(frozen=True)
@@ -162,5 +164,5 @@ def clean_of(docs: DataFrame, items: DataFrame, **names) -> DataFrame:
     """The rows of docs whose text overlaps with no item; all columns stay. Equal texts share one verdict, so null and repeated ids are safe."""
     row = "__text_hash"
     numbered = docs.withColumn(row, F.xxhash64(F.col(names.get("text_col", "text"))))
-    hit = overlaps(numbered, items, **{**names, "id_col": row}).select(row).distinct()
-    return numbered.join(hit, row, "left_anti").drop(row)
+    hit = store(overlaps(numbered, items, **{**names, "id_col": row}).select(row).distinct(), "hits")
+    return numbered.join(bounded_broadcast(hit, 1_000_000), row, "left_anti").drop(row)

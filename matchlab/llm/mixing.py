@@ -22,24 +22,24 @@ def _number(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
-def sized_rows(docs: DataFrame, source_col: str, text_col: str, id_col: str, seed: int, keep: list[str] | None = None) -> DataFrame:
-    """src (the source with null apart), tokens (white-space words), block, and the columns in `keep`; a stored table.
-
-    A row's block is a hash of its id, or of its text where the id is null.
-    """
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    name = F.coalesce(F.col(id_col).cast("string"), F.md5(t))
-    return store(
-        docs.select(
-            F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("")).alias("__src"),
-            F.regexp_count(t, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("__tokens"),
-            (_number(F.concat_ws("|", F.lit(str(seed)), name)) % BLOCKS).alias("__block"),
-            *(F.col(c).alias(f"__k{i}") for i, c in enumerate(keep or [])),
-        ),
-        "sized",
+def _placed(docs: DataFrame, source_col: str, text_col: str, id_col: str, seed: int) -> DataFrame:
+    """docs with __src (the source with null apart) and __block, a hash of the id, or of the text where the id is null."""
+    name = F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    return docs.withColumns(
+        {
+            "__src": F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("")),
+            "__block": _number(F.concat_ws("|", F.lit(str(seed)), name)) % BLOCKS,
+        }
     )
 
 
+def sized_rows(docs: DataFrame, source_col: str, text_col: str, id_col: str, seed: int, keep: list[str] | None = None) -> DataFrame:
+    """__src, __tokens (white-space words), __block, and the columns in `keep` as __k0, __k1, ...; a stored table without texts."""
+    tokens = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    placed = _placed(docs, source_col, text_col, id_col, seed)
+    return store(placed.select("__src", tokens.alias("__tokens"), "__block", *(F.col(c).alias(f"__k{i}") for i, c in enumerate(keep or []))), "sized")
+
+
 def _search(sources: DataFrame, goal: Callable[[float, float, float, float], bool], lo: float, hi: float) -> float:
     """The smallest exponent in [lo, hi] that meets a monotone goal(Z, S, M, a): Z = sum p**a, S = sum p**a ln p, M = max p**(a - 1).
 
@@ -132,9 +132,8 @@ def copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     )
 
 
-def realised(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs, each as often as the schedule uses its block; all columns stay."""
-    names = docs.columns
-    rows, _, plan = mixed(docs, keep=names, **options)
-    plan = bounded_broadcast(plan.select("src", "block"), 1_000_000)
-    return rows.join(plan, (F.col("__src") == F.col("src")) & (F.col("__block") == F.col("block"))).select(*(F.col(f"__k{i}").alias(c) for i, c in enumerate(names)))
+def realised(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id", seed: int = 7, **target) -> DataFrame:
+    """The rows of docs, each as often as the schedule uses its block; all columns stay. Texts are read again, not stored."""
+    _, _, plan = mixed(docs, source_col, text_col, id_col, seed, **target)
+    plan = bounded_broadcast(plan.select(F.col("src").alias("__src"), F.col("block").alias("__block")), 1_000_000)
+    return _placed(docs, source_col, text_col, id_col, seed).join(plan, ["__src", "__block"]).select(*docs.columns)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlab.llm.storage import store
+from matchlab.session import bounded_broadcast
 
 BLANK = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
@@ -204,8 +205,13 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sour
 
 
 def accepted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", **options) -> DataFrame:
-    """The rows of docs that the rules keep, with all their columns."""
-    named = {c: f"__c{i}" for i, c in enumerate(docs.columns)}  # so that no name meets one of the verdict
-    held = docs.select(*(F.col(c).alias(n) for c, n in named.items()))
-    verdict = judged(held, named[text_col], named[lang_col], named[source_col], keep=list(named.values()), **options)
-    return verdict.where("kept").select(*(F.col(n).alias(c) for c, n in named.items()))
+    """The rows of docs that the rules keep, with all their columns.
+
+    A verdict follows from text, language and source, so it is joined by their hash; only the hashes of rejected
+    rows are stored, and texts are neither stored nor, while those are few, shuffled.
+    """
+    key = "__verdict_key"
+    named = docs.withColumn(key, F.xxhash64(text_col, lang_col, source_col))
+    held = named.select(F.col(text_col).alias("__t"), F.col(lang_col).alias("__l"), F.col(source_col).alias("__s"), key)
+    rejected = store(judged(held, "__t", "__l", "__s", keep=[key], **options).where("NOT kept").select(key).distinct(), "rejected")
+    return named.join(bounded_broadcast(rejected, 1_000_000), key, "left_anti").drop(key)
