@@ -64,9 +64,12 @@ def member_table(counts: np.ndarray, cls: np.ndarray, after: np.ndarray, back_of
 
 BEGIN, PAD = CLASSES, CLASSES + 1
 KEYS = SPAN + CONTEXT - 1
-#: How far each key lies behind each query of a window; the causal mask allows 0 to CONTEXT - 1.
-_BACK = (CONTEXT - 1 + np.arange(SPAN))[:, None] - np.arange(KEYS)[None, :]
-_SEEN = (_BACK >= 0) & (_BACK < CONTEXT)
+
+
+def _seen(x: np.ndarray) -> np.ndarray:
+    """View of what the causal mask lets through of (windows, SPAN, KEYS): query i sees keys i to i + CONTEXT - 1, the last its own place."""
+    a, b, c = x.strides
+    return np.lib.stride_tricks.as_strided(x, (len(x), SPAN, CONTEXT), (a, b + c, c))
 
 
 @dataclass
@@ -110,7 +113,7 @@ class Model:
         e[:, PAD] = 0  # padding is never seen
         e[PAD, :] = 1
         v = np.hstack([self.embed @ self.value, np.ones((CLASSES + 2, 1), np.float32)]).astype(np.float32)
-        near = np.where(_SEEN, np.exp(self.distance)[np.clip(_BACK, 0, CONTEXT - 1)], 0).astype(np.float32)
+        near = np.exp(self.distance)[::-1].astype(np.float32)
         return q, k, g, np.ascontiguousarray(e, np.float32), v, near
 
     def _logits(self, windows: np.ndarray, tables):
@@ -118,9 +121,9 @@ class Model:
         _, _, _, e, v, near = tables
         windows = windows.astype(np.intp)
         cq = windows[:, CONTEXT - 1 :]
-        pair = (cq * (CLASSES + 2))[:, :, None] + windows[:, None, :]
-        a = np.take(e.ravel(), pair)
-        a *= near
+        pair = (cq * (CLASSES + 2))[:, :, None] + np.lib.stride_tricks.sliding_window_view(windows, CONTEXT, 1)
+        a = np.zeros((len(windows), SPAN, KEYS), np.float32)
+        np.multiply(e.ravel().take(pair, mode="clip"), near, out=_seen(a))
         vk = v[windows]
         summed = a @ vk
         den = summed[:, :, -1:] + np.float32(1e-20)
@@ -160,8 +163,8 @@ class Model:
         ds = np.concatenate([dh / den, -(dh * att).sum(2, keepdims=True) / den], 2)
         da = ds @ vk.transpose(0, 2, 1)
         dv = _scatter(windows.ravel(), (a.transpose(0, 2, 1) @ ds).reshape(-1, WIDTH + 1))[:, :-1]
-        da *= a
-        d_distance = np.bincount(_BACK[_SEEN], weights=da.sum(0)[_SEEN], minlength=CONTEXT).astype(np.float32)
+        da = _seen(da) * _seen(a)
+        d_distance = da.sum((0, 1))[::-1].astype(np.float32)
         dg = np.bincount(pair.ravel(), weights=da.ravel(), minlength=(CLASSES + 2) ** 2).reshape(CLASSES + 2, -1).astype(np.float32)
         dg[np.abs(g) >= 15] = 0
         dg *= np.float32(WIDTH**-0.5)
