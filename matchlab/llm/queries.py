@@ -93,6 +93,12 @@ def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("weight", F.round("weight", 6)).withColumn("copies", F.col("copies").cast("long"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchlab.llm.centroids import clusters
+
+    return clusters(_table(spark, sf_dir, "embeddings"), k=40, rounds=5)
+
+
 QUERIES = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_byte_shards": op2_byte_shards,
@@ -104,4 +110,5 @@ QUERIES = {
     "op8_warc_salvage": op8_warc_salvage,
     "op9_license_notices": op9_license_notices,
     "op10_temperature_mix": op10_temperature_mix,
+    "op12_centroids": op12_centroids,
 }

@@ -70,9 +70,40 @@ SELECT doc_id, source, n_tokens, d.block, (whole + (ahead + tokens / 2 < (epochs
 FROM d JOIN o ON d.src = o.src AND d.block = o.block
 """
 
+
+
+def _op12(k: int = 40, rounds: int = 5) -> str:
+    """Rounds unrolled. All values are whole and below 2**53, so products of doubles are exact."""
+    parts = [
+        """e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+               WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        "v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, v FROM e)",
+        f"""c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1)::INT AS cluster, v AS c
+                  FROM v QUALIFY cluster < {k})""",
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""a{r} AS MATERIALIZED (SELECT row, min_by({{'cluster': cluster, 'distance': d}}, (d, cluster)) AS best FROM (
+                  SELECT row, cluster, list_dot_product(v, v) - 2 * list_dot_product(v, c) + list_dot_product(c, c) AS d FROM v, c{r}) GROUP BY row)"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""m{r} AS (SELECT cluster, list(mean ORDER BY i) AS c FROM (
+                      SELECT best.cluster AS cluster, i, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS mean
+                      FROM (SELECT row, unnest(v)::HUGEINT AS x, generate_subscripts(v, 1) AS i FROM v) JOIN a{r} USING (row) GROUP BY ALL) GROUP BY cluster),
+                    c{r + 1} AS MATERIALIZED (SELECT cluster, coalesce(m{r}.c::DOUBLE[], c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (cluster))"""
+            )
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, best.cluster AS cluster, best.distance::BIGINT AS distance,
+       sum(best.distance::BIGINT) OVER (PARTITION BY best.cluster)::BIGINT AS cluster_inertia, sum(best.distance::BIGINT) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(list_transform(c, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (row) JOIN c{rounds} ON c{rounds}.cluster = best.cluster"""
+
+
 ORACLES = {
     "op2_byte_shards": OP2,
     "op4_jaccard_tiles": OP4,
     "op8_warc_salvage": OP8,
     "op10_temperature_mix": OP10,
+    "op12_centroids": _op12(),
 }
