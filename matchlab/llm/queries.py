@@ -93,6 +93,15 @@ def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("weight", F.round("weight", 6)).withColumn("copies", F.col("copies").cast("long"))
 
 
+def op11_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from matchlab.llm.packing import pack
+
+    rows = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "capacity", "sequence_cost")
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchlab.llm.centroids import clusters
 
@@ -110,5 +119,6 @@ QUERIES = {
     "op8_warc_salvage": op8_warc_salvage,
     "op9_license_notices": op9_license_notices,
     "op10_temperature_mix": op10_temperature_mix,
+    "op11_balanced_packing": op11_balanced_packing,
     "op12_centroids": op12_centroids,
 }
