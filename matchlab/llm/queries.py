@@ -108,6 +108,12 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters(_table(spark, sf_dir, "embeddings"), k=40, rounds=5)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchlab.llm.phrases import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_byte_shards": op2_byte_shards,
@@ -121,4 +127,5 @@ QUERIES = {
     "op10_temperature_mix": op10_temperature_mix,
     "op11_balanced_packing": op11_balanced_packing,
     "op12_centroids": op12_centroids,
+    "op13_collocations": op13_collocations,
 }

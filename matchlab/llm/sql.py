@@ -100,10 +100,33 @@ SELECT vec_id, best.cluster AS cluster, best.distance::BIGINT AS distance,
 FROM a{rounds} JOIN v USING (row) JOIN c{rounds} ON c{rounds}.cluster = best.cluster"""
 
 
+OP13 = r"""
+WITH pieces AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM (
+       SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+       FROM documents)),
+total AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM (
+        SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase FROM pieces, range(1, 6) r(m))
+      GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m >= 2),
+inner_parts AS (SELECT DISTINCT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, a FROM c, range(2, 5) z(s), range(1, 5) y(i) WHERE s < m AND i + s - 1 <= m),
+alone AS (SELECT * FROM c ANTI JOIN inner_parts p ON p.lang = c.lang AND p.phrase = c.phrase AND 100 * p.a >= 100 * c.a),
+cuts AS (SELECT x.lang, x.phrase, x.a, k, l.f AS l, r.f AS r, n, (1000::HUGEINT * x.a * n) // (l.f::HUGEINT * r.f) AS score
+         FROM (SELECT *, unnest(range(1, m)) AS k FROM alone) x
+         JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(x.w[1:k], ' ')
+         JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(x.w[k + 1:], ' ')
+         JOIN total t ON t.lang = x.lang),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM lowest QUALIFY rank <= 2000
+"""
+
+
 ORACLES = {
     "op2_byte_shards": OP2,
     "op4_jaccard_tiles": OP4,
     "op8_warc_salvage": OP8,
     "op10_temperature_mix": OP10,
     "op12_centroids": _op12(),
+    "op13_collocations": OP13,
 }
