@@ -18,7 +18,11 @@ from matchlab.llm import textkit
 from matchlab.llm.tokenfile import PieceTokenizer
 
 #: Tokens that a task packs together; its memory is a few dozen bytes a token.
-WINDOW = 2 << 20
+WINDOW = 1 << 20
+#: Distinct pieces that a tokenizer remembers, and how many it encodes at a time; both only bound memory.
+REMEMBER, AT_ONCE = 400_000, 4096
+#: Bytes of text that are encoded together.
+SLICE = 1 << 20
 #: Model width of the cost estimate: a document of n tokens costs 6 * WIDTH * n for the layers and n * n for attention.
 WIDTH = 768
 
@@ -35,6 +39,39 @@ class ByteTokenizer(PieceTokenizer):
     of its pieces end to end (a test compares both).
     """
 
+    def __init__(self, path: str, remember: int = REMEMBER):
+        super().__init__(path, remember)
+
+    def forget(self) -> None:
+        super().forget()
+        self.hits = np.zeros(0, np.int64)
+
+    def _thin(self) -> None:
+        """Keep the half of the pieces that was met in most batches."""
+        rank = np.argsort(-self.hits[self.place], kind="stable")[: self.remember // 2]
+        kept = np.sort(rank)
+        self.keys, old = self.keys[kept], self.place[kept]
+        count = self.first[old + 1] - self.first[old]
+        stop = np.cumsum(count)
+        total = int(stop[-1]) if len(stop) else 0
+        self.flat = self.flat[np.arange(total) + np.repeat(self.first[old] - (stop - count), count)]
+        self.first, self.place, self.hits = np.concatenate([[0], stop]), np.arange(len(kept)), self.hits[old]
+
+    def _learn(self, data: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        raw, flat, counts = data.tobytes(), [self.flat], []
+        for k in range(0, len(keys), AT_ONCE):
+            pieces = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts[k : k + AT_ONCE].tolist(), ends[k : k + AT_ONCE].tolist())]
+            ids = [x.ids for x in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+            counts.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat.append(np.fromiter((i for x in ids for i in x), self.flat.dtype, int(counts[-1].sum())))
+        count = np.concatenate(counts)
+        place = np.arange(len(self.first) - 1, len(self.first) - 1 + len(count))
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(count)])
+        self.flat = np.concatenate(flat)
+        self.hits = np.concatenate([self.hits, np.zeros(len(count), np.int64)])
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.place = np.insert(self.keys, at, keys), np.insert(self.place, at, place)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, and the index of each row's first id."""
         edge = np.zeros(len(data) + 1, bool)
@@ -47,13 +84,14 @@ class ByteTokenizer(PieceTokenizer):
         first = np.searchsorted(starts, offsets)
         hashes = textkit.hash_spans(data, starts, ends)
         keys, where, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.keys) > self.remember:
+            self._thin()
         new = ~np.isin(keys, self.keys, assume_unique=True)
-        if new.any() and len(self.keys) > self.remember:
-            self.forget()
-            new[:] = True
         if new.any():
             self._learn(data, keys[new], starts[where[new]], ends[where[new]])
-        place = self.place[np.searchsorted(self.keys, keys)][back] if len(keys) else np.zeros(0, np.int64)
+        place = self.place[np.searchsorted(self.keys, keys)]
+        self.hits[place] += 1
+        place = place[back]
         count = self.first[place + 1] - self.first[place]
         stop = np.cumsum(count)
         index = np.arange(int(stop[-1]) if len(stop) else 0) + np.repeat(self.first[place] - (stop - count), count)
@@ -131,7 +169,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, length: int = 1024, widt
         n = 0
         base = TaskContext.get().partitionId() << 32
         for b in batches:
-            for i, j, data, offsets in textkit.slices(b.column(1)):
+            for i, j, data, offsets in textkit.slices(b.column(1), SLICE):
                 ids, first = _tokenizer(vocabulary).encode(data, offsets)
                 ids = np.insert(ids, first[1:], end_id)
                 first = first + np.arange(len(first))
