@@ -5,7 +5,7 @@ w occurs at least as often as the phrase; so rare words come first, and growth e
 the last place of its language. A wave expands the best words of the frontier level by level: a phrase grows
 only from a frequent prefix and by a frequent word.
 
-Passes read the texts and count 64-bit names of word sequences. Names only choose what is worth a look: two sequences
+Words are named by 64 bits and stored as such; passes over the names count those of word sequences. Names only choose what is worth a look: two sequences
 that share a name can bring in a phrase too many, never lose one. All counts that reach a score are taken of the
 texts of the phrases. What tasks must know travels as bitmaps of a fixed size, in which a shared bit only means more work.
 """
@@ -29,7 +29,7 @@ SLICE = 4 << 20
 #: log2 of the places of a bitmap: 4 MB each, however many names are set.
 BITS = 25
 #: The first wave expands the rarest words, up to this share of all occurrences; the next ones all that the bound demands.
-FIRST_SHARE = 1 / 16
+FIRST_SHARE = 1 / 8
 #: Languages whose totals and last scores may be broadcast; beyond that they are joined.
 MAX_LANGS = 100_000
 
@@ -40,21 +40,27 @@ _BETWEEN[[0x20, 0x09]] = True
 _LANG = np.uint64(0xA24BAED4963EE407)
 
 
+def _lang_name(lang: str) -> np.uint64:
+    raw = np.frombuffer(b"lang " + lang.encode(), np.uint8)
+    return textkit.hash_spans(raw, np.array([0]), np.array([len(raw)]))[0]
+
+
 class _Slice:
     """The words of some rows: names within their language, runs (pieces), and the bytes they stand for."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, langs: list[str]):
         self.data = textkit.LOWER[data]
-        self.starts, self.ends, first = textkit.words(self.data, offsets, _BETWEEN)
+        self.starts, self.ends, self.first = textkit.words(self.data, offsets, _BETWEEN)
         self.langs = langs
-        self.row = np.repeat(np.arange(len(langs)), np.diff(first))
+        self.row = np.repeat(np.arange(len(langs)), np.diff(self.first))
         ends = np.searchsorted(np.flatnonzero(_PIECE_END[self.data]), self.starts)
-        new = np.ones(len(self.row), bool)
-        new[1:] = (np.diff(self.row) != 0) | (np.diff(ends) != 0)
-        self.run = np.cumsum(new)
-        known = {x: textkit.hash_words(x + " lang", np.zeros(256, bool))[0] for x in set(langs)}
+        self.new = np.ones(len(self.row), bool)
+        self.new[1:] = (np.diff(self.row) != 0) | (np.diff(ends) != 0)
+        self.run = np.cumsum(self.new)
+        known = {x: _lang_name(x) for x in set(langs)}
         lang = np.array([known[x] for x in langs], np.uint64) if langs else np.zeros(0, np.uint64)
-        self.name = textkit.mix(textkit.hash_spans(self.data, self.starts, self.ends) + lang[self.row] * _LANG)
+        name = textkit.mix(textkit.hash_spans(self.data, self.starts, self.ends) + lang[self.row] * _LANG)
+        self.name = np.maximum(name, np.uint64(1))  # 0 means no word
 
     def sequences(self, m: int) -> np.ndarray:
         """Names of the m words from each word on; to be used only where `room` holds."""
@@ -119,24 +125,49 @@ def word_counts(texts: DataFrame, least: int) -> DataFrame:
     return counts.where((F.col("f") >= least) | F.col("word").isNull())
 
 
-def _grown(texts: DataFrame, m: int, prefixes, words, least: int) -> DataFrame:
-    """Names of m words that occur `least` times by name, with those of their inner ends (s2 to s4): marked prefix, marked last word."""
+def _named(texts: DataFrame, frequent) -> DataFrame:
+    """Each text as names of 8 bytes, one a word: 0 stands for a word that is not marked as frequent and before every piece."""
 
-    def count(batches):
+    def name(batches):
         for s in _slices(batches):
-            ok = s.room(m)
-            if not len(ok):
+            names = np.where(_marked(frequent, s.name), s.name, np.uint64(0))
+            out = np.insert(names, np.flatnonzero(s.new), np.uint64(0))
+            ahead = np.concatenate([[0], np.cumsum(s.new)])
+            places = 8 * (s.first + ahead[s.first])
+            yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.large_binary(), len(s.langs), [None, pa.py_buffer(places), pa.py_buffer(out)]).cast(pa.binary())], names=["names"])
+
+    return texts.mapInArrow(name, "names binary")
+
+
+def _stream(column: pa.Array) -> np.ndarray:
+    """The names of all rows end to end."""
+    column = textkit.large_binary(column)
+    places = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(bytes(memoryview(column.buffers()[2] or b"")[places[0] : places[-1]]), "<u8")
+
+
+def _grown(named: DataFrame, m: int, prefixes, least: int) -> DataFrame:
+    """Names of m frequent words with a marked prefix that occur `least` times by name, with those of their inner ends (s2 to s4)."""
+
+    def count(batches):
+        for b in batches:
+            names = _stream(b.column(0))
+            n = len(names) - m + 1
+            if n <= 0:
                 continue
-            ok &= _marked(prefixes, s.sequences(m - 1)[: len(ok)]) & _marked(words, s.name[m - 1 :])
+            ok = names[m - 1 :] != 0
+            for k in range(m - 1):
+                ok &= names[k : k + n] != 0
             at = np.flatnonzero(ok)
+            at = at[_marked(prefixes, (names if m == 2 else textkit.windows(names, tuple(range(m - 1))))[at])]
             if not len(at):
                 continue
-            names, k, n = np.unique(s.sequences(m)[at], return_index=True, return_counts=True)
+            whole, k, times = np.unique(textkit.windows(names, tuple(range(m)))[at], return_index=True, return_counts=True)
             at = at[k]
-            ends = [_signed(s.sequences(j)[at + m - j]) if j < m else pa.nulls(len(at), pa.int64()) for j in (2, 3, 4)]
-            yield pa.RecordBatch.from_arrays([_signed(names), *ends, pa.array(n)], names=["name", "s2", "s3", "s4", "f"])
+            ends = [_signed(textkit.windows(names, tuple(range(j)))[at + m - j]) if j < m else pa.nulls(len(at), pa.int64()) for j in (2, 3, 4)]
+            yield pa.RecordBatch.from_arrays([_signed(whole), *ends, pa.array(times)], names=["name", "s2", "s3", "s4", "f"])
 
-    counts = texts.mapInArrow(count, "name long, s2 long, s3 long, s4 long, f long")
+    counts = named.mapInArrow(count, "name long, s2 long, s3 long, s4 long, f long")
     return counts.groupBy("name", "s2", "s3", "s4").agg(F.sum("f").alias("f")).where(F.col("f") >= least).drop("f")
 
 
@@ -221,11 +252,13 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 100, factor: int
     totals = bounded_broadcast(counted.where("word IS NULL").select("lang", F.col("f").alias("n")), MAX_LANGS)
     words = counted.where("word IS NOT NULL").withColumn("class", F.floor(F.log2("f")).cast("int"))
     frequent = _bitmap(words.select("name"))
+    named = store(_named(texts, frequent), "names")
+    frequent.unpersist()
 
     # The rarest words, by powers of two: one row per language and power.
     mass = words.groupBy("lang", "class").agg(F.sum("f").alias("mass"))
     upto = F.coalesce(F.sum("mass").over(Window.partitionBy("lang").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rare = mass.withColumn("upto", upto).join(totals, "lang").where(F.col("upto") <= F.col("n") * FIRST_SHARE).select("lang", "class")
+    rare = mass.withColumn("upto", upto).join(totals, "lang").where((F.col("upto") == 0) | (F.col("upto") + F.col("mass") <= F.col("n") * FIRST_SHARE)).select("lang", "class")
     rare = bounded_broadcast(store(rare, "rare"), 64 * MAX_LANGS)
     pending, left = (words.join(rare, ["lang", "class"], how) for how in ("left_semi", "left_anti"))
     known = best = None
@@ -235,7 +268,7 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 100, factor: int
         if waves is not None:
             waves.append(size)
         if size:
-            found = _wave(texts, pending, frequent, least)
+            found = _wave(texts, named, pending, least)
             known = found if known is None else store(known.unionByName(found).dropDuplicates(["lang", "phrase"]), "phrases")
             ranked = scored(known, words, totals, factor).where("alone")
             place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
@@ -252,12 +285,12 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 100, factor: int
     return best.select(*columns) if best is not None else spark.createDataFrame([], "lang string, rank long, phrase string, a long, l long, r long, n long, score long")
 
 
-def _wave(texts: DataFrame, expanded: DataFrame, frequent, least: int) -> DataFrame:
+def _wave(texts: DataFrame, named: DataFrame, expanded: DataFrame, least: int) -> DataFrame:
     """All frequent phrases that begin with an expanded word, and the ends they are cut into, described."""
     prefixes, levels = expanded, []
     for m in range(2, LONGEST + 1):
         bitmap = _bitmap(prefixes.select("name"))
-        prefixes = store(_grown(texts, m, bitmap, frequent, least), f"level{m}")
+        prefixes = store(_grown(named, m, bitmap, least), f"level{m}")
         bitmap.unpersist()
         levels.append(prefixes.select(F.explode(F.array("name", *[f"s{j}" for j in range(2, m)])).alias("name")))
     wanted = _bitmap(reduce(DataFrame.unionByName, levels))
