@@ -6,6 +6,7 @@ a lost task is simply done again with the same result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,10 +87,14 @@ class ByteTokenizer(PieceTokenizer):
         keys, where, back = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) > self.remember:
             self._thin()
-        new = ~np.isin(keys, self.keys, assume_unique=True)
+        at = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        inside = at < len(self.keys)
+        new[inside] = self.keys[at[inside]] != keys[inside]
         if new.any():
             self._learn(data, keys[new], starts[where[new]], ends[where[new]])
-        place = self.place[np.searchsorted(self.keys, keys)]
+            at = np.searchsorted(self.keys, keys)
+        place = self.place[at]
         self.hits[place] += 1
         place = place[back]
         count = self.first[place + 1] - self.first[place]
@@ -148,13 +153,13 @@ def packed(sizes: np.ndarray, length: int, width: int = WIDTH) -> tuple[np.ndarr
     return np.concatenate([blocks, rows]), np.concatenate([np.full(full, length), size])
 
 
-def pack(docs: DataFrame, vocabulary: str, end_id: int, length: int = 1024, width: int = WIDTH, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: id, start (the document's ids before it), length, doc_tokens, sequence_id, offset, capacity, sequence_cost, ids.
+def pack(docs: DataFrame, vocabulary: str, end_id: int, length: int = 1024, width: int = WIDTH, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", payload: bool = True) -> DataFrame:
+    """One row per piece: id, start (the document's ids before it), length, ids_crc32, doc_tokens, sequence_id, offset, capacity, sequence_cost, ids.
 
     A document is its text's ids by the byte-level tokenizer and end_id. A task gathers documents up to `window` tokens,
     packs them (see packed) and goes on; sequences hold `length` tokens and, once a window, powers of two below it, all
     without padding. capacity is the length of the sequence, sequence_cost the estimated cost of its pieces, and
-    ids the piece's ids as little-endian unsigned 32-bit integers. sequence_id is unique: task number * 2**32 and a count.
+    ids the piece's ids as little-endian unsigned 32-bit integers (left out without `payload`), of which ids_crc32 is the crc32. sequence_id is unique: task number * 2**32 and a count.
 
     A null or empty text is its end_id alone. Ids are carried as they are, nulls and repeats included; every row is a
     document of its own. A very long text is held whole by its task. Equal sizes go by row order. An empty table gives
@@ -162,7 +167,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, length: int = 1024, widt
     """
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    names = ["id", "start", "length", "doc_tokens", "sequence_id", "offset", "capacity", "sequence_cost", "ids"]
+    names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "capacity", "sequence_cost"]
 
     def write(batches):
         held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
@@ -193,15 +198,16 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, length: int = 1024, widt
         id_column = pa.concat_arrays([x for x, _, _ in held])
         raw = memoryview(ids.tobytes())
 
-        def batches(step: int = 4096):
+        def batches(step: int = 512):
             for s in range(0, len(rows), step):
                 k = slice(s, s + step)
                 at = 4 * (begin[doc[k]] + start[k])
-                payload = [raw[a:e] for a, e in zip(at.tolist(), (at + 4 * size[k]).tolist())]
-                columns = [start[k], size[k], sizes[doc[k]], base + sequence[k], offset[k], room[sequence[k]], spent[sequence[k]]]
-                yield pa.RecordBatch.from_arrays([id_column.take(pa.array(doc[k])), *(pa.array(c) for c in columns), pa.array(payload, pa.binary())], names=names)
+                pieces = [raw[a:e] for a, e in zip(at.tolist(), (at + 4 * size[k]).tolist())]
+                columns = [start[k], size[k], [zlib.crc32(p) for p in pieces], sizes[doc[k]], base + sequence[k], offset[k], room[sequence[k]], spent[sequence[k]]]
+                arrays = [id_column.take(pa.array(doc[k])), *(pa.array(c, pa.int64()) for c in columns)]
+                yield pa.RecordBatch.from_arrays(arrays + [pa.array(pieces, pa.binary())], names=[*names, "ids"]) if payload else pa.RecordBatch.from_arrays(arrays, names=names)
 
         return base + len(room), batches()
 
-    rows = own.mapInArrow(write, f"id {kind}, " + ", ".join(f"{c} long" for c in names[1:-1]) + ", ids binary")
+    rows = own.mapInArrow(write, f"id {kind}, " + ", ".join(f"{c} long" for c in names[1:]) + (", ids binary" if payload else ""))
     return rows.withColumnRenamed("id", id_col)

@@ -98,8 +98,7 @@ def op11_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from matchlab.llm.packing import pack
 
-    rows = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
-    return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "capacity", "sequence_cost")
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, payload=False)
 
 
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
