@@ -21,6 +21,7 @@ from matchlab.operators.teams import build_fixtures, ladder_position
 from matchlab.plans.features import dated, training_frame
 from matchlab.session import bounded_broadcast, cut
 from matchlab.sources import tables as S
+from matchlab.sources import versions as V
 from matchlab.sources.schemas import KEYS, SCHEMAS
 
 MAX_FIXTURES = 1_000_000  # matches of one round that may be broadcast
@@ -88,34 +89,52 @@ def score_week(week: Week, as_of: Column, pipeline: Pipeline, **scale) -> DataFr
     return M.score(model, coming).select("pred_a", "pred_h", "match_id", "date", "away_team", "home_team", "pick")
 
 
-def log_predictions(spark: SparkSession, path: str, predictions: DataFrame) -> None:
-    """One row per match: predicting a week again replaces its rows. The log is partitioned by season."""
-    schema = T.StructType([*SCHEMAS["prediction_log"].fields, T.StructField("season", T.IntegerType())])
-    new = cut(predictions.withColumn("season", F.year("date")))
-    S.upsert_table(spark, path, schema, new, KEYS["prediction_log"])
+def stored_schema(name: str) -> T.StructType:
+    """Schema of a stored table: all are partitioned by season."""
+    schema = SCHEMAS[name]
+    return schema if "season" in schema.names else T.StructType([*schema.fields, T.StructField("season", T.IntegerType())])
+
+
+def stored(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
+    """A stored table, in its newest version or an earlier one."""
+    return V.read(spark, f"{root}/tables/{name}", stored_schema(name), version)
+
+
+def log_predictions(spark: SparkSession, root: str, predictions: DataFrame) -> int:
+    """One row per match: predicting a week again replaces its rows, and the version before can be read back."""
+    new = V.with_source(predictions.withColumn("season", F.year("date")), F.current_timestamp())
+    return V.merge(spark, f"{root}/tables/prediction_log", stored_schema("prediction_log"), new, KEYS["prediction_log"])
 
 
 def append_round(spark: SparkSession, root: str, season: int, round_number: int) -> None:
-    """Upsert the landed extracts of the round before into the stored tables of the season."""
+    """Merge the landed extracts of the round before into the stored tables; of several files the latest wins.
+
+    Plain tables ``root/<name>`` become the first version of the stored ones, once.
+    """
     landed = f"{root}/landed/season={season}/round={round_number}"
-    team = S.unnest_competition(S.snake_columns(spark.read.parquet(f"{landed}/team_match")))
-    player = S.unnest_competition(S.snake_columns(spark.read.parquet(f"{landed}/player_match")))
-    ladder = S.renamed(S.snake_columns(spark.read.parquet(f"{landed}/ladder")), LADDER_NAMES).withColumns(
+
+    def scan(name: str) -> DataFrame:
+        files = V.file_source(spark.read.parquet(f"{landed}/{name}"))
+        own = {c: S.snake_case(c) for c in files.columns if c not in ("_at", "_from", "_block")}
+        return V.placed(files.withColumnsRenamed(own))
+
+    team, player = (S.unnest_competition(scan(name)) for name in ("team_match", "player_match"))
+    ladder = S.renamed(scan("ladder"), LADDER_NAMES).withColumns(
         {
             "team": canonical_team(F.col("team")),
             "season": F.lit(season),
             "round": F.lit(round_number),
         }
     )
-    ladder = ladder_position(ladder)
+    # A corrected row counts once, so it must win before positions are given.
+    at, name = ladder.agg(F.max("_at"), F.max("_from")).first()
+    ladder = V.with_source(ladder_position(V.latest_per_key(ladder, KEYS["ladder"]).drop("_at", "_from")), F.lit(at), name)
     for name, df in (("team_match", team), ("player_match", player), ("ladder", ladder)):
-        schema = SCHEMAS[name]
-        wanted = list(dict.fromkeys([*schema.names, "season"]))
+        full, table = stored_schema(name), f"{root}/tables/{name}"
         df = df.withColumns({"season": F.lit(season), **({"utc_start": F.to_date("utc_start")} if "utc_start" in df.columns else {})})
-        df = first_per_key(df.select(*wanted), KEYS[name], [F.col(c) for c in wanted if c not in KEYS[name]])
-        full = schema if "season" in schema.names else T.StructType([*schema.fields, T.StructField("season", T.IntegerType())])
-        typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in full])
-        S.upsert_table(spark, f"{root}/{name}", full, typed, KEYS[name])
+        typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in full], "_at", "_from", "_place")
+        V.adopt(spark, table, full, f"{root}/{name}", KEYS[name])
+        V.merge(spark, table, full, typed, KEYS[name])
 
 
 def run_week(
@@ -131,18 +150,17 @@ def run_week(
 ) -> DataFrame:
     """Whole weekly job on a folder: running it again for the same week leaves the same tables.
 
-    ``root`` holds the stored tables, ``landed/season=/round=`` the extracts, ``results``, ``lineup`` and
-    ``workflow`` (the unfitted pipeline). Predictions go to ``prediction_log``.
+    ``root`` holds the stored tables in versions (``tables/``), ``landed/season=/round=`` the extracts, ``results``,
+    ``lineup`` and ``workflow`` (the unfitted pipeline). Predictions go to ``tables/prediction_log``.
     """
     append_round(spark, root, season, round_number - 1)
-    read = lambda name: spark.read.parquet(f"{root}/{name}")
     now = f"{root}/landed/season={season}/round={round_number}"
     day = F.current_date() if as_of is None else F.lit(as_of)
-    pm = read("player_match")
+    pm = stored(spark, root, "player_match")
     week = Week(
-        team_match=read("team_match").drop("season"),
+        team_match=stored(spark, root, "team_match").drop("season"),
         player_match=pm,
-        ladder=read("ladder"),
+        ladder=stored(spark, root, "ladder"),
         player_key=first_per_key(
             pm.filter(F.col("utc_start") < week_floor(day)).select("player_id", "firstname", "surname", "utc_start", "match_id"),
             ["player_id"],
@@ -157,7 +175,5 @@ def run_week(
         names=names,
     )
     predictions = score_week(week, day, M.load_pipeline(f"{root}/workflow"), **scale)
-    log_predictions(spark, f"{root}/prediction_log", predictions)
-    return spark.read.schema(SCHEMAS["prediction_log"]).parquet(f"{root}/prediction_log")
-
-
+    log_predictions(spark, root, predictions)
+    return stored(spark, root, "prediction_log").select(*SCHEMAS["prediction_log"].names)

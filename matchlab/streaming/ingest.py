@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from matchlab.sources.tables import upsert_table
+from matchlab.sources.versions import file_source, merge, placed
 
 
 def stream_upsert(
@@ -20,17 +20,18 @@ def stream_upsert(
     part: str = "season",
     fmt: str = "parquet",
 ) -> None:
-    """Upsert all files that arrived since the last call, then stop.
+    """Merge all files that arrived since the last call into a versioned table, then stop.
 
-    ``state`` is the stream's checkpoint folder on shared storage. A batch that is replayed after a
-    failure changes nothing, because the upsert is keyed.
+    ``state`` is the stream's checkpoint folder on shared storage. Rows carry the time and path of their file: of
+    several rows of a key the one of the latest file wins, and of one file its last row, in one batch or over many.
+    A batch that is replayed after a failure changes nothing.
     """
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     def write(batch: DataFrame, _: int) -> None:
-        upsert_table(batch.sparkSession, table, struct, batch, keys, part)
+        merge(batch.sparkSession, table, struct, placed(batch), keys, part)
 
-    files = spark.readStream.schema(struct).format(fmt).load(landed)
+    files = file_source(spark.readStream.schema(struct).format(fmt).load(landed))
     query = (
         files.writeStream.foreachBatch(write)
         .option("checkpointLocation", state)

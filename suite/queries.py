@@ -19,6 +19,7 @@ from matchlab.plans.features import training_frame
 from matchlab.plans.weekly import Week, week_frame
 from matchlab.session import cut, ensure_checkpoint_dir
 from matchlab.sources import commerce as C
+from matchlab.sources import versions as V
 from matchlab.sources.tables import (
     append_log,
     collect_extracts,
@@ -506,6 +507,36 @@ def upsert_table_(spark, sf):
 QUERIES["upsert_table"] = QUERIES.pop("upsert_table_")
 
 
+def _versioned(spark, sf) -> tuple[str, T.StructType]:
+    """Four extracts: every key twice in one, the correction last; round 12 corrected; an older extract late; the correction once more."""
+    path, schema = f"{_scratch(spark)}/t", T.StructType.fromDDL(_STORED_SCHEMA)
+    tm = C.team_match(spark, sf).select(*_STORED)
+    raw = tm.withColumns({"score": F.col("score") - 5, "place": F.lit(1)}).unionByName(tm.withColumn("place", F.lit(2)))
+    fixed = tm.filter(F.col("round") == 12).withColumn("score", F.col("score") + 1)
+    extracts = [
+        V.with_source(raw, F.lit("2024-01-02"), "raw", F.col("place")).drop("place"),
+        V.with_source(fixed, F.lit("2024-01-03"), "fixed"),
+        V.with_source(tm.withColumn("score", F.lit(-1.0)), F.lit("2024-01-01"), "late"),
+        V.with_source(fixed, F.lit("2024-01-03"), "fixed"),
+    ]
+    for extract in extracts:
+        V.merge(spark, path, schema, extract, ["match_id", "team_name"])
+    return path, schema
+
+
+@query
+def versioned_merge(spark, sf):
+    path, schema = _versioned(spark, sf)
+    return V.read(spark, path, schema).select(*_STORED)
+
+
+@query
+def versioned_read_back(spark, sf):
+    """The version before the correction."""
+    path, schema = _versioned(spark, sf)
+    return V.read(spark, path, schema, version=1).select(*_STORED)
+
+
 @query
 def select_competitions_(spark, sf):
     """Parts read as competitions: two of the nouns, from a first size on."""

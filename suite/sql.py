@@ -383,6 +383,11 @@ UNION ALL SELECT s_suppkey, s_name, s_nationkey, s_acctbal, NULL, 'supplier' FRO
 
 ORACLES["upsert_table"] = ORACLES["upsert_idempotent"]
 
+ORACLES["versioned_merge"] = ORACLES["upsert_idempotent"]
+
+ORACLES["versioned_read_back"] = f"""WITH {TEAM}
+SELECT match_id, team_name, season, round, date, score FROM team_match"""
+
 ORACLES["csv_round_trip"] = f"""WITH {TEAM}
 SELECT match_id, team_name, season, round, date, score FROM team_match
 UNION ALL SELECT match_id, team_name, season, round + 100, date, score FROM team_match"""

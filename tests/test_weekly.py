@@ -4,10 +4,12 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlab.functions.fixed_values import PLAYER_STATS, TEAM_STATS
 from matchlab.operators import model as M
-from matchlab.plans.weekly import run_week
+from matchlab.plans.weekly import run_week, stored
+from matchlab.sources import versions
 from matchlab.sources.schemas import SCHEMAS
 from matchlab.streaming.ingest import stream_upsert
 
@@ -71,7 +73,7 @@ def test_the_same_week_twice_leaves_the_same_tables(spark, tmp_path):
     for _ in range(2):
         log = run_week(spark, root, 2020, 8, dt.date(2020, 4, 29), competition=2020, round_offset=1)
         rows = sorted((r.match_id, r.home_team, r.away_team, r.pick, round(r.pred_h, 9), r.date) for r in log.collect())
-        sizes = [spark.read.parquet(f"{root}/{n}").count() for n in ("team_match", "player_match", "ladder")]
+        sizes = [stored(spark, root, n).count() for n in ("team_match", "player_match", "ladder")]
         seen.append((rows, sizes))
     assert seen[0] == seen[1]
     rows, sizes = seen[0]
@@ -100,7 +102,7 @@ def test_a_stored_week_replayed_gives_the_same_rows(spark, tmp_path):
     raw = spark.read.parquet(f"{now}/lineup").withColumnsRenamed({"firstname": "firstName", "surname": "lastName", "position": "role"})
     raw.write.parquet(f"{root}/landed/season=2020/round=9/lineup")
     assert len(pred(run(9), 9)) == 2
-    assert spark.read.parquet(f"{root}/team_match").filter("season = 2020 AND round = 8").count() == 4
+    assert stored(spark, root, "team_match").filter("season = 2020 AND round = 8").count() == 4
     assert pred(run(8), 8) == first
 
 
@@ -111,8 +113,9 @@ def test_extracts_that_land_later_are_upserted_from_a_stream(spark, tmp_path):
         spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(landed)
         stream_upsert(spark, landed, table, schema, ["id"], str(tmp_path / "state"))
     stream_upsert(spark, landed, table, schema, ["id"], str(tmp_path / "state"))
-    rows = sorted((r.id, r.season, r.x) for r in spark.read.schema(schema).parquet(table).collect())
+    rows = sorted((r.id, r.season, r.x) for r in versions.read(spark, table, T.StructType.fromDDL(schema)).collect())
     assert rows == [(1, 2020, 1.0), (2, 2020, 5.0), (3, 2021, 3.0)]
+    assert versions.versions(spark, table) == [1, 2]
 
 
 def test_pick_rule_is_the_likelier_side():
