@@ -11,6 +11,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -204,15 +206,103 @@ def _ewma_cold(df, key, order, cols, lam, width, nulls):
             for c in cols
         ]
         return df.selectExpr("*", *state).drop("_ix", *_WEIGHTS, *[f"_t_{c}" for c in cols])
-    for c in cols:
-        df = df.withColumn("_idx", F.count(c).over(w_key.rowsBetween(Window.unboundedPreceding, -1)))
-        df = df.selectExpr("*", *_weights("_idx", lam, width)).withColumn("_t", F.col(c) * F.col("_wt"))
-        inside = Window.partitionBy(*key, "_blk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        before = Window.partitionBy(*key).orderBy("_blk").rangeBetween(-1, -1)
-        df = df.withColumns({"_i": F.sum("_t").over(inside), "_c": F.sum("_t").over(before)})
-        state = f"CASE WHEN _idx > 0 THEN _own * coalesce(_i, 0D) + _old * coalesce(_c, 0D) END AS `_s_{c}`"
-        df = df.selectExpr("*", state).drop("_idx", "_t", "_i", "_c", *_WEIGHTS)
-    return df
+    rows = df.withColumn("_ix", F.row_number().over(w_key).cast("long") - 1)
+    return _ewma_skip(rows, key, cols, lam, width).drop("_ix")
+
+
+# Null-skipping form as a scan. A value x turns the state S into lam * S + (1 - lam) * x and a null leaves it, so a run of
+# rows is one affine map S -> lam**n * S + b, and runs compose. The first value f of a key is its state before that value.
+
+
+def _ewma_skip(rows, key, cols, lam, width):
+    """Lagged state from positions _ix, for any number of columns by one pair of windows, one aggregation and one join.
+
+    Blocks of ``width`` rows of a key are summed up as (n, f, b) of all columns; the states at their starts are composed
+    (_carried) and joined back once. A key within one block needs none.
+    """
+    by = [*key, "_blk"]
+    over = f"(PARTITION BY {_names(by)} ORDER BY _ix {_BEFORE})"
+    lit = f"{lam!r}D"
+    rows = rows.withColumn("_blk", F.floor(F.col("_ix") / width))
+    rows = rows.selectExpr(
+        "*",
+        *[f"count(`{c}`) OVER {over} AS `_n_{c}`" for c in cols],
+        *[f"first_value(`{c}`) IGNORE NULLS OVER {over} AS `_f_{c}`" for c in cols],
+    )
+    rows = rows.selectExpr("*", *[f"`{c}` * (1D - {lit}) * pow({lit}, -(`_n_{c}` + 1)) AS `_t_{c}`" for c in cols])
+    rows = rows.selectExpr("*", *[f"coalesce(sum(`_t_{c}`) OVER {over}, 0D) AS `_b_{c}`" for c in cols])
+    if len(key) == 1 and key[0] == "_hk":
+        rows = cut(rows)  # of hot keys: read twice
+    blocks = rows.groupBy(*by).agg(
+        F.expr(f"array({', '.join(f'count(`{c}`)' for c in cols)}) AS n"),
+        F.expr(f"array({', '.join(f'coalesce(min_by(`{c}`, _ix) FILTER (WHERE `{c}` IS NOT NULL), 0D)' for c in cols)}) AS f"),
+        F.expr(f"array({', '.join(f'coalesce(sum(`_t_{c}`), 0D) * pow({lit}, count(`{c}`))' for c in cols)}) AS b"),
+    )
+    several = F.max("_blk").over(Window.partitionBy(*key)) > 0
+    carried = _carried(blocks.withColumn("_several", several).filter("_several").drop("_several"), key, lam)
+    rows = null_safe_join(rows, carried, by, "left")
+    state = [
+        f"pow({lit}, `_n_{c}`) * (coalesce(IF(_known[{i}], _state[{i}], NULL), `_f_{c}`) + `_b_{c}`) AS `_s_{c}`"
+        for i, c in enumerate(cols)
+    ]
+    return rows.selectExpr("*", *state).drop("_blk", "_known", "_state", *[f"_{p}_{c}" for c in cols for p in "nftb"])
+
+
+def _compose(n, f, b, lam, known=None, state=None):
+    """States before each of the blocks, in order, and after the last: (known, state), one more row than blocks."""
+    held, now = np.zeros((len(n) + 1, n.shape[1]), bool), np.zeros((len(n) + 1, n.shape[1]))
+    if known is not None:
+        held[0], now[0] = known, state
+    for i in range(len(n)):
+        start = np.where(held[i], now[i], f[i])
+        held[i + 1] = held[i] | (n[i] > 0)
+        now[i + 1] = np.where(n[i] > 0, lam ** n[i].astype(float) * start + b[i], now[i])
+    return held, now
+
+
+def _arrays(pdf):
+    return (np.vstack(pdf[c].to_numpy()) for c in ("n", "f", "b"))
+
+
+def _carried(blocks: DataFrame, key: Sequence[str], lam: float, chunk: int = CHUNK_ROWS) -> DataFrame:
+    """key, _blk, _known and _state before each block; more than ``chunk`` blocks of a key are composed chunk by chunk first."""
+    kinds = ", ".join(f"`{k}` {blocks.schema[k].dataType.simpleString()}" for k in key)
+    out = f"{kinds}, _blk long, _known array<boolean>, _state array<double>"
+
+    def scan(names, pdf, known=None, state=None):
+        pdf = pdf.sort_values("_blk")
+        held, now = _compose(*_arrays(pdf), lam, known, state)
+        out = {k: [v] * len(pdf) for k, v in zip(key, names)}
+        return pd.DataFrame({**out, "_blk": pdf["_blk"].to_numpy(), "_known": list(held[:-1]), "_state": list(now[:-1])})
+
+    blocks = blocks.withColumn("_up", F.floor(F.col("_blk") / chunk))
+    if not key or key[0] != "_hk" or (blocks.agg(F.max("_up")).first()[0] or 0) == 0:
+        return blocks.groupBy(*key).applyInPandas(lambda names, pdf: scan(_plain(names), pdf), out)
+
+    def whole(names, pdf):
+        """A chunk as one block: its own first values, and the sum that the states leave when these count as zero."""
+        n, f, b = _arrays(pdf.sort_values("_blk"))
+        zero = np.zeros(n.shape[1])
+        _, now = _compose(n, f, b, lam, zero == 0, zero)
+        first = np.array([f[np.flatnonzero(n[:, c])[0], c] if n[:, c].any() else 0.0 for c in range(n.shape[1])])
+        return pd.DataFrame({**{k: [v] for k, v in zip(key, _plain(names))}, "_blk": [names[-1]], "n": [n.sum(axis=0)], "f": [first], "b": [now[-1]]})
+
+    blocks = cut(blocks)
+    chunks = blocks.groupBy(*key, "_up").applyInPandas(whole, f"{kinds}, _blk long, n array<long>, f array<double>, b array<double>")
+    above = _carried(cut(chunks), key, lam, chunk)
+
+    def inside(names, pdf, opening):
+        if pdf.empty:
+            return pd.DataFrame({**{k: [] for k in key}, "_blk": [], "_known": [], "_state": []})
+        return scan(_plain(names), pdf, opening["_known"].iloc[0].astype(bool), opening["_state"].iloc[0])
+
+    left = blocks.groupBy(*key, "_up")
+    return left.cogroup(above.withColumnRenamed("_blk", "_up").groupBy(*key, "_up")).applyInPandas(inside, out)
+
+
+def _plain(names: tuple) -> list:
+    """Group names as values that pandas hands back: a struct arrives as a dict or row."""
+    return [n.asDict(True) if hasattr(n, "asDict") else n for n in names]
 
 
 def _block_state(df, cols, idx, lam, width):
@@ -244,30 +334,7 @@ def _ewma_hot(df, key, order, cols, lam, width, nulls):
         kept = [c for c in rows.columns if c not in {f"_s_{c}" for c in cols}]
         clean = [f"CASE WHEN _ix <= coalesce(`_g_{c}`, _ix) THEN `_s_{c}` END AS `_s_{c}`" for c in cols]
         return rows.select(*kept, *[F.expr(e) for e in clean]).drop("_ix", "_hk", *[f"_g_{c}" for c in cols])
-    by = ["_hk", "_chunk"]
-    rows = rows.withColumn("_chunk", F.floor(F.col("_ix") / CHUNK_ROWS))
-    per_chunk = rows.groupBy(*by).agg(*[F.count(c).alias(f"_n_{c}") for c in cols])
-    past = Window.unboundedPreceding, -1
-    w_chunks = Window.partitionBy("_hk").orderBy("_chunk").rowsBetween(*past)
-    per_chunk = per_chunk.select(
-        *by, *[F.coalesce(F.sum(f"_n_{c}").over(w_chunks), F.lit(0)).alias(f"_o_{c}") for c in cols]
-    )
-    w_in = Window.partitionBy(*by).orderBy("_ix").rowsBetween(*past)
-    rows = rows.withColumns({f"_k_{c}": F.count(c).over(w_in) for c in cols})
-    rows = rows.join(per_chunk, by, "left")
-    rows = rows.withColumns({f"_k_{c}": F.col(f"_k_{c}") + F.col(f"_o_{c}") for c in cols})
-    rows = cut(rows.drop("_chunk", *[f"_o_{c}" for c in cols]))
-    for c in cols:
-        # _k counts the values before a row. The state left behind by value number _k - 1 is joined on
-        # that count: at most one partner per row, however many rows share the count.
-        known = rows.filter(F.col(c).isNotNull()).select("_hk", c, F.col(f"_k_{c}").alias("_idx"))
-        after = _block_state(known, [c], "_idx", lam, width).select(
-            "_hk",
-            (F.col("_idx") + 1).alias(f"_k_{c}"),
-            F.coalesce(lam * F.col(f"_s_{c}") + (1.0 - lam) * F.col(c), F.col(c)).alias(f"_s_{c}"),
-        )
-        rows = rows.join(after, ["_hk", f"_k_{c}"], "left")
-    return rows.drop("_ix", "_hk", *[f"_k_{c}" for c in cols])
+    return _ewma_skip(rows, ["_hk"], cols, lam, width).drop("_ix", "_hk")
 
 
 def lagged_ewma(
@@ -305,3 +372,34 @@ def lagged_ewma(
     kept = [c for c in out.columns if c not in {f"_s_{c}" for c in cols}]
     added = [named[n] for n in named if n not in kept]
     return out.selectExpr(*[named.get(c, f"`{c}`") for c in kept], *added)
+
+
+def carried_ewma(
+    rows: DataFrame,
+    state: DataFrame | None,
+    key: Sequence[str],
+    order: Sequence[Column | str],
+    cols: Sequence[str],
+    lam: float = 0.94,
+    nulls: str = "poison",
+    **scale,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows with their exponentially weighted past, state after them) where ``state`` holds what came before.
+
+    The state has one row per key with the columns as they stand after the last row: it goes before the new rows like a
+    first value, and a row without values behind them reads off the next state. A null state means a poisoned column, or no value
+    yet where nulls are passed over; both go on as such. Keys without new rows keep their state. All is stored once.
+    """
+    typed = {c: f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in cols}
+    real = rows.selectExpr(*[typed.get(c, f"`{c}`") for c in rows.columns]).withColumn("_turn", F.lit(1))
+    ends = real.select(*key) if state is None else real.select(*key).unionByName(state.select(*key))
+    parts = [real, ends.distinct().withColumn("_turn", F.lit(2))]
+    if state is not None:
+        parts.append(state.select(*key, *cols).withColumn("_turn", F.lit(0)))
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p, allowMissingColumns=True)
+    if "rows_bound" in scale:
+        scale = {**scale, "rows_bound": scale["rows_bound"] + 2}
+    out = cut(lagged_ewma(whole, key, ["_turn", *order], cols, lam, nulls, **scale))
+    return out.filter("_turn = 1").drop("_turn"), out.filter("_turn = 2").select(*key, *cols)

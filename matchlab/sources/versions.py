@@ -12,7 +12,7 @@ atomically and refuse an existing target, as HDFS does.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
@@ -158,9 +158,13 @@ def _commit(spark, table, schema, once, keys, part, touched, version) -> int:
         stale = cut(later.where("_old > _new").select(*keys))
         winners = cut(null_safe_join(once, bounded_broadcast(stale, MAX_KEYS), keys, "left_anti"))
     kept = null_safe_join(stored, bounded_broadcast(winners.select(*keys), MAX_KEYS), keys, "left_anti")
+    return _write(spark, table, kept.unionByName(winners), keys[:1], part, listed, version)
+
+
+def _write(spark, table, rows, spread, part, listed, version) -> int:
     folder = f"{table}/data/{version + 1:010d}-{uuid.uuid4().hex}"
-    rows = kept.unionByName(winners).withColumn("_part", F.col(part).cast("string"))
-    rows.repartition("_part", *keys[:1]).write.partitionBy("_part").parquet(folder)
+    rows = rows.withColumn("_part", F.col(part).cast("string"))
+    rows.repartition("_part", *spread).write.partitionBy("_part").parquet(folder)
     for name in _names(spark, folder):
         if name.startswith("_part="):
             value = unquote(name[len("_part=") :])
@@ -169,6 +173,28 @@ def _commit(spark, table, schema, once, keys, part, touched, version) -> int:
     return version + 1
 
 
+def replace(spark: SparkSession, table: str, schema: T.StructType, rows: DataFrame, part: str, spread: Sequence[str] = (), keep: Callable[[str | None], bool] = lambda p: True, attempts: int = 5) -> int:
+    """Publish a version in which the partitions of ``rows`` hold just these rows; of the others those stay that ``keep`` says."""
+    rows = with_source(rows.select(*schema.names), F.current_timestamp()).drop("_place")
+    for _ in range(attempts):
+        version = max(versions(spark, table), default=0)
+        listed = {p: f for p, f in _listed(spark, table, version).items() if keep(p)}
+        try:
+            return _write(spark, table, rows, spread, part, listed, version)
+        except Conflict:
+            continue
+    raise Conflict(f"{table}: {attempts} other writers were faster")
+
+
+def first_change(spark: SparkSession, table: str, schema: T.StructType, since: int, order: str):
+    """Smallest ``order`` value of a row that two versions do not share, or None; only changed partitions are read."""
+    parts = changed_parts(spark, table, since)
+    if not parts:
+        return None
+    old, now = read(spark, table, schema, since, parts), read(spark, table, schema, None, parts)
+    return now.exceptAll(old).unionByName(old.exceptAll(now)).agg(F.min(order)).first()[0]
+
+
 def changed_parts(spark: SparkSession, table: str, since: int, version: int | None = None) -> list:
     """Partitions whose folder differs between two versions."""
     version = version if version is not None else max(versions(spark, table), default=0)

@@ -14,7 +14,8 @@ from matchlab.functions.columns import result_code, week_floor
 from matchlab.functions.fixed_values import LADDER_COLUMNS, PLAYER_FEATURES, TEAM_STATS
 from matchlab.operators import form, frame, metrics, model, names, ratings, resample, teams
 from matchlab.operators.keyed import first_per_key, player_key
-from matchlab.operators.ordered import lagged_ewma
+from matchlab.operators.ordered import carried_ewma, lagged_ewma
+from matchlab.plans.carried import carried_rest
 from matchlab.plans.features import training_frame
 from matchlab.plans.weekly import Week, week_frame
 from matchlab.session import cut, ensure_checkpoint_dir
@@ -170,6 +171,24 @@ def ewma_player_skip(spark, sf):
     return _event_form(spark, sf, "skip", rows_bound=C.row_bound(spark, sf, "events"))
 
 
+def _stats_skip(spark, sf, **scale):
+    """All statistics at once, zeros read as missing."""
+    tm = C.team_match(spark, sf)
+    rows = tm.select("match_id", "team_name", "date", *[F.nullif(F.col(c) % 3, F.lit(0.0)).alias(c) for c in TEAM_STATS])
+    out = lagged_ewma(rows, ["team_name"], [F.col("date"), F.col("match_id")], TEAM_STATS, nulls="skip", **scale)
+    return out.select("match_id", "team_name", *on_grid(TEAM_STATS, 4))
+
+
+@query
+def ewma_stats_skip(spark, sf):
+    return _stats_skip(spark, sf, rows_bound=C.row_bound(spark, sf))
+
+
+@query
+def ewma_stats_skip_hot_keys(spark, sf):
+    return _stats_skip(spark, sf, hot_rows=100)
+
+
 @query
 def ewma_poison_hot_keys(spark, sf):
     return _event_form(spark, sf, "poison", hot_rows=60)
@@ -286,6 +305,49 @@ def elo_by_pool(spark, sf):
     return out.select("match_id", *[q(f"{c}_0", d).alias(c) for c, d in (("elo_home", 4), ("elo_away", 4), ("pr_home", 6))])
 
 
+# ---------------------------------------------------------------- continued from a stored state
+
+_STOPS = [dt.date(1997, 1, 1), dt.date(2000, 2, 3)]
+
+
+def _continued(rows: DataFrame, step: Callable) -> DataFrame:
+    """Union of three spans of time, each continued from the state that the one before left; ``step`` gives (rows, state)."""
+    edges, state, out = [None, *_STOPS, None], None, None
+    for low, high in zip(edges, edges[1:]):
+        part = rows if low is None else rows.filter(F.col("date") >= F.lit(low))
+        part = part if high is None else part.filter(F.col("date") < F.lit(high))
+        done, state = step(part, state)
+        state = cut(state)
+        out = done if out is None else out.unionByName(done)
+    return out
+
+
+@query
+def carried_ratings(spark, sf):
+    bound = C.row_bound(spark, sf, "orders")
+
+    def step(part, state):
+        part, kw = cut(part), {"rows_bound": bound, "state": state}
+        return ratings.elo(part, [22.0], **kw), ratings.closing_ratings(part, [22.0], **kw)
+
+    out = _continued(_elo_matches(spark, sf), step)
+    return out.select("match_id", *[q(F.col(c)[0], d).alias(c) for c, d in (("elo_home", 4), ("elo_away", 4), ("pr_home", 6))])
+
+
+@query
+def carried_form(spark, sf):
+    bound = C.row_bound(spark, sf)
+    step = lambda part, state: carried_ewma(part, state, ["team_name"], ["date", "match_id"], TEAM_STATS, rows_bound=bound)
+    return _continued(C.team_match(spark, sf), step).select("match_id", "team_name", *on_grid(TEAM_STATS, 4))
+
+
+@query
+def carried_rest_days(spark, sf):
+    bound = C.row_bound(spark, sf)
+    out = _continued(C.team_match(spark, sf), lambda part, last: carried_rest(part, last, rows_bound=bound + 1))
+    return out.select("match_id", "team_name", "competition_id", "date", "days_rest")
+
+
 # ---------------------------------------------------------------- names and fixtures
 
 

@@ -256,6 +256,11 @@ SELECT player_id, event_id, {q("list_reduce(CASE WHEN len(past) > 0 THEN past EN
 FROM (SELECT *, list_filter(list(value) OVER ({_EW} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
                             lambda x: x IS NOT NULL) AS past FROM events_history)"""
 
+_PAST = [f"list_filter(list(nullif({c} % 3, 0)) OVER ({TEAM_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), lambda x: x IS NOT NULL) AS {c}" for c in TEAM_STATS]
+_SKIPPED = [q(f"list_reduce(CASE WHEN len({c}) > 0 THEN {c} END, lambda a, x: {LAM} * a + (1 - {LAM}) * x)", 4) + f" AS {c}" for c in TEAM_STATS]
+ORACLES["ewma_stats_skip"] = ORACLES["ewma_stats_skip_hot_keys"] = f"""WITH {TEAM}
+SELECT match_id, team_name, {", ".join(_SKIPPED)} FROM (SELECT match_id, team_name, {", ".join(_PAST)} FROM team_match)"""
+
 _IDS = "player_id, match_id, jumper_number, squad_id, points, price"
 ORACLES["player_rates"] = f"""WITH {TEAM}, {PLAYERS}, {RATE_ROWS}
 SELECT {_IDS}, name, {", ".join(f"{q(c, 5)} AS {c}" for c in PLAYER_FEATURES)} FROM rates"""
@@ -490,3 +495,9 @@ GROUP BY ALL"""
 
 
 ORACLES["weekly_ratings"] = _weekly_ratings()
+
+ORACLES["carried_ratings"] = ORACLES["elo_ratings"]
+
+ORACLES["carried_form"] = ORACLES["ewma_team_lagged"]
+
+ORACLES["carried_rest_days"] = ORACLES["rest_days"]
