@@ -94,16 +94,14 @@ def pair_matches(
 ) -> DataFrame:
     """One row per match with ``<name>_home`` and ``<name>_away`` for each value column.
 
-    The two sides are fixed, so this is a plain aggregation without a pass for pivot values. Rows should
-    be unique per (match, side): dedupe with first_per_key before.
+    The two sides are fixed, so this is a plain aggregation without a pass for pivot values, partial per map task. Of
+    several rows of a side one counts as a whole: the largest by its value columns in their order, nulls smallest.
     """
     values = values or {"team_name": "team", "score": "score"}
-    aggs = [
-        F.expr(f"max(`{src}`) FILTER (WHERE team_location = '{side}') AS `{dst}_{side}`")
-        for src, dst in values.items()
-        for side in SIDES
-    ]
-    return tm.groupBy(*keys).agg(*aggs)
+    row = f"struct({', '.join(f'`{src}`' for src in values)})"
+    aggs = [F.expr(f"max({row}) FILTER (WHERE team_location = '{side}') AS _{side}") for side in SIDES]
+    named = [F.col(f"_{side}").getField(src).alias(f"{dst}_{side}") for src, dst in values.items() for side in SIDES]
+    return tm.groupBy(*keys).agg(*aggs).select(*keys, *named)
 
 
 def with_result(matches: DataFrame, scheme: str = "elo", out: str = "result") -> DataFrame:

@@ -41,7 +41,7 @@ def read_table(
 ) -> DataFrame:
     """Read a table with its declared schema.
 
-    CSV columns are taken by their name in the header, in any order; further columns (such as
+    CSV columns are taken by their name in the header of their own file, in any order; further columns (such as
     an unnamed row-number column, ``row_names``) are dropped, a missing column or a value that its type
     cannot hold is an error. Date columns may hold UTC timestamps, which are cut to the day; timestamps may be
     ISO or day/month/year hour:minute.
@@ -50,10 +50,33 @@ def read_table(
     paths = path if isinstance(path, str) else list(path)
     if fmt != "csv":
         return spark.read.schema(schema).format(fmt).load(paths)
-    parts = [spark.read.csv(p, header=True, nullValue="NA") for p in ([paths] if isinstance(paths, str) else paths)]
+    parts = [df for p in ([paths] if isinstance(paths, str) else paths) for df in csv_by_header(spark, p)]
     return reduce(DataFrame.unionByName, [_typed(df, schema, row_names) for df in parts])
 
 
+def csv_by_header(spark: SparkSession, path: str) -> list[DataFrame]:
+    """All columns as text, one scan per header: a scan of many files takes the first one's header for all.
+
+    With more than one file the first line of each is looked up by a job, and files are grouped by it; folder columns
+    (season=2020) stay. The paths of the files reach the driver, as they do for every scan.
+    """
+    whole = spark.read.csv(path, header=True, nullValue="NA")
+    if len(whole.inputFiles()) <= 1:
+        return [whole]
+    groups = list(csv_headers(spark, path).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).sort("header").collect())
+    if len(groups) == 1:
+        return [whole]
+    return [spark.read.option("basePath", path).csv(g.paths, header=True, nullValue="NA") for g in groups]
+
+
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """path and header (the first line) of every CSV file below a folder that is not empty."""
+    lines = spark.read.text(path).select(
+        "value", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")
+    )
+    return lines.filter("_block = 0").groupBy("path").agg(F.min_by("value", "_row").alias("header"))
+
+
 def _typed(raw: DataFrame, schema: T.StructType, row_names: bool) -> DataFrame:
     names = raw.columns[1:] if row_names else raw.columns
     if missing := [f.name for f in schema if f.name not in names]:

@@ -127,3 +127,12 @@ def test_odds_without_margin(spark):
     df = spark.createDataFrame([(1.5, 3.0, 10.0, 4.0), (None, 3.0, 1.0, 2.0)], "home_odds_close double, away_odds_close double, home_score double, away_score double")
     rows = devig(df).collect()
     assert len(rows) == 1 and rows[0].home_pr == pytest.approx(2 / 3) and rows[0].result == 1.0
+
+
+def test_duplicate_sides_keep_the_values_of_one_row(spark):
+    from matchlab.operators.teams import pair_matches
+
+    rows = [(1, 1, 1, "home", "A", 9.0), (1, 1, 1, "home", "B", 4.0), (1, 1, 1, "away", "C", None), (1, 1, 1, "away", "C", 2.0), (2, 1, 1, "away", None, 3.0)]
+    tm = spark.createDataFrame(rows, "match_id int, round int, date int, team_location string, team_name string, score double")
+    got = sorted(tuple(r) for r in pair_matches(tm).select("match_id", "team_home", "score_home", "team_away", "score_away").collect())
+    assert got == [(1, "B", 4.0, "C", 2.0), (2, None, None, None, 3.0)]

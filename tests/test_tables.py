@@ -120,3 +120,22 @@ def test_extract_folders_by_season_and_round(spark, tmp_path, fmt):
     (writer.option("header", True) if fmt == "csv" else writer).save(path)
     got = read_table(spark, "ladder", path, fmt).filter("season = 2021")
     assert sorted((r.season, r["round"], r.ladder_points, r.ladder_position) for r in got.collect()) == [(2021, 1, 4.0, 1), (2021, 2, 4.0, 1)]
+
+
+def test_files_of_a_folder_with_different_headers(spark, tmp_path):
+    folder = tmp_path / "keys"
+    for part, text in {
+        "season=1": "player_id,firstname,surname\n1,Ann,Smith\n",
+        "season=2": "player_id,surname,firstname,extra\n2,Bob,Kim,x\n",
+        "season=3": "surname,firstname,player_id\nNg,Bo,3\n",
+        "season=4": "player_id,firstname,surname\n4,Di,Lee\n",
+    }.items():
+        (folder / part).mkdir(parents=True)
+        (folder / part / "a b+c.csv").write_text(text)
+    rows = read_table(spark, "player_key", str(folder), "csv").orderBy("player_id").collect()
+    assert [tuple(r) for r in rows] == [(1, "Ann", "Smith"), (2, "Kim", "Bob"), (3, "Bo", "Ng"), (4, "Di", "Lee")]
+    wide = struct("player_id:l firstname:s surname:s season:i")
+    assert sorted((r.player_id, r.season) for r in read_table(spark, wide, str(folder), "csv").collect()) == [(i, i) for i in range(1, 5)]
+    (folder / "season=3" / "a b+c.csv").write_text("surname,player_id\nNg,3\n")
+    with pytest.raises(ValueError, match="firstname"):
+        read_table(spark, "player_key", str(folder), "csv")
