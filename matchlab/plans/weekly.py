@@ -9,7 +9,6 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from matchlab.functions.columns import week_floor
 from matchlab.functions.fixed_values import FIXTURE_TEAM_NAMES, LADDER_NAMES, LINEUP_NAMES
@@ -19,6 +18,7 @@ from matchlab.operators.names import canonical_team, resolve_lineup
 from matchlab.operators.resample import time_split
 from matchlab.operators.teams import build_fixtures, ladder_position
 from matchlab.plans.features import dated, training_frame
+from matchlab.plans.load import stored_schema
 from matchlab.session import bounded_broadcast, cut
 from matchlab.sources import tables as S
 from matchlab.sources import versions as V
@@ -89,12 +89,6 @@ def score_week(week: Week, as_of: Column, pipeline: Pipeline, **scale) -> DataFr
     return M.score(model, coming).select("pred_a", "pred_h", "match_id", "date", "away_team", "home_team", "pick")
 
 
-def stored_schema(name: str) -> T.StructType:
-    """Schema of a stored table: all are partitioned by season."""
-    schema = SCHEMAS[name]
-    return schema if "season" in schema.names else T.StructType([*schema.fields, T.StructField("season", T.IntegerType())])
-
-
 def stored(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
     """A stored table, in its newest version or an earlier one."""
     return V.read(spark, f"{root}/tables/{name}", stored_schema(name), version)

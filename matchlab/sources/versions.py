@@ -127,16 +127,20 @@ def read(spark: SparkSession, table: str, schema: T.StructType, version: int | N
     return df if source else df.select(*schema.names)
 
 
-def merge(spark: SparkSession, table: str, schema: T.StructType, new: DataFrame, keys: Sequence[str], part: str = "season", attempts: int = 5) -> int:
+def _part(part: str | None) -> Column:
+    return F.lit("all") if part is None else F.col(part).cast("string")
+
+
+def merge(spark: SparkSession, table: str, schema: T.StructType, new: DataFrame, keys: Sequence[str], part: str | None = "season", attempts: int = 5) -> int:
     """Merge an extract by key and publish a version; returns its number.
 
     Of several rows of a key in the extract the latest wins (latest_per_key); it replaces the stored row unless that one
     comes from a later source, so a correction wins in whatever order files arrive and a replay changes nothing.
-    `part` must be a function of the keys: only the partitions in the extract are read and written. If another writer
+    `part` (None: the table is one partition) must be a function of the keys: only the partitions in the extract are read and written. If another writer
     publishes first, the merge is done again on its version. An empty extract publishes nothing. Null keys are keys.
     """
     once = cut(latest_per_key(cut(new.select(*schema.names, "_at", "_from", "_place")), keys))
-    touched = [r[0] for r in once.select(F.col(part).cast("string")).distinct().collect()]  # partitions, not rows
+    touched = [r[0] for r in once.select(_part(part)).distinct().collect()]  # partitions, not rows
     for _ in range(attempts):
         version = max(versions(spark, table), default=0)
         if not touched:
@@ -163,7 +167,7 @@ def _commit(spark, table, schema, once, keys, part, touched, version) -> int:
 
 def _write(spark, table, rows, spread, part, listed, version) -> int:
     folder = f"{table}/data/{version + 1:010d}-{uuid.uuid4().hex}"
-    rows = rows.withColumn("_part", F.col(part).cast("string"))
+    rows = rows.withColumn("_part", _part(part))
     rows.repartition("_part", *spread).write.partitionBy("_part").parquet(folder)
     for name in _names(spark, folder):
         if name.startswith("_part="):
@@ -173,9 +177,12 @@ def _write(spark, table, rows, spread, part, listed, version) -> int:
     return version + 1
 
 
-def replace(spark: SparkSession, table: str, schema: T.StructType, rows: DataFrame, part: str, spread: Sequence[str] = (), keep: Callable[[str | None], bool] = lambda p: True, attempts: int = 5) -> int:
-    """Publish a version in which the partitions of ``rows`` hold just these rows; of the others those stay that ``keep`` says."""
-    rows = with_source(rows.select(*schema.names), F.current_timestamp()).drop("_place")
+def replace(spark: SparkSession, table: str, schema: T.StructType, rows: DataFrame, part: str | None, spread: Sequence[str] = (), keep: Callable[[str | None], bool] = lambda p: True, attempts: int = 5) -> int:
+    """Publish a version in which the partitions of ``rows`` hold just these rows; of the others those stay that ``keep`` says.
+
+    Rows that carry their source (_at, _from) keep it, others are from now.
+    """
+    rows = rows.select(*schema.names, "_at", "_from") if "_at" in rows.columns else with_source(rows.select(*schema.names), F.current_timestamp()).drop("_place")
     for _ in range(attempts):
         version = max(versions(spark, table), default=0)
         listed = {p: f for p, f in _listed(spark, table, version).items() if keep(p)}

@@ -17,6 +17,7 @@ from matchlab.operators.keyed import first_per_key, player_key
 from matchlab.operators.ordered import carried_ewma, lagged_ewma
 from matchlab.plans.carried import carried_rest
 from matchlab.plans.features import training_frame
+from matchlab.plans.load import load, stored_schema
 from matchlab.plans.weekly import Week, week_frame
 from matchlab.session import cut, ensure_checkpoint_dir
 from matchlab.sources import commerce as C
@@ -305,6 +306,35 @@ def elo_by_pool(spark, sf):
     return out.select("match_id", *[q(f"{c}_0", d).alias(c) for c, d in (("elo_home", 4), ("elo_away", 4), ("pr_home", 6))])
 
 
+# ---------------------------------------------------------------- bulk load
+
+
+def _landed(spark, sf) -> str:
+    """Matches and league tables as CSV folders by season and round; odd rounds have their columns in reverse order."""
+    path = _scratch(spark)
+    tm = cut(C.team_match(spark, sf))
+    tables = {"team_match": tm.withColumnRenamed("date", "utc_start"), "ladder": C.ladder(tm)}
+    for name, df in tables.items():
+        own = [c for c in stored_schema(name).names if c not in ("season", "round", "ladder_position")]
+        for odd, cols in ((0, own), (1, own[::-1])):
+            part = df.filter(F.col("round") % 2 == odd).select(*cols, "season", "round").repartition("season", "round")
+            part.write.mode("append").partitionBy("season", "round").option("header", True).option("nullValue", "NA").csv(f"{path}/landed/{name}")
+    for _ in range(2):  # the second call finds all files in its ledger
+        load(spark, f"{path}/landed", path)
+    return path
+
+
+@query
+def bulk_load(spark, sf):
+    tm = V.read(spark, f"{_landed(spark, sf)}/tables/team_match", stored_schema("team_match"))
+    return tm.select("match_id", "team_name", "season", "round", F.col("utc_start").alias("date"), "score")
+
+
+@query
+def bulk_load_ladder(spark, sf):
+    return V.read(spark, f"{_landed(spark, sf)}/tables/ladder", stored_schema("ladder"))
+
+
 # ---------------------------------------------------------------- continued from a stored state
 
 _STOPS = [dt.date(1997, 1, 1), dt.date(2000, 2, 3)]

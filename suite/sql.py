@@ -501,3 +501,7 @@ ORACLES["carried_ratings"] = ORACLES["elo_ratings"]
 ORACLES["carried_form"] = ORACLES["ewma_team_lagged"]
 
 ORACLES["carried_rest_days"] = ORACLES["rest_days"]
+
+ORACLES["bulk_load"] = ORACLES["versioned_read_back"]
+
+ORACLES["bulk_load_ladder"] = ORACLES["ladder_position"]
