@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from matchlab.functions.columns import result_code, week_floor
 from matchlab.functions.fixed_values import LADDER_COLUMNS, PLAYER_FEATURES, TEAM_STATS
-from matchlab.operators import form, frame, metrics, model, names, ratings, resample, teams
+from matchlab.operators import form, frame, metrics, model, names, preprocess, ratings, resample, teams
 from matchlab.operators.keyed import first_per_key, player_key
 from matchlab.operators.ordered import carried_ewma, lagged_ewma
 from matchlab.plans.carried import carried_rest
@@ -674,6 +674,24 @@ def zero_variance_filter(spark, sf):
     return out.select("predictor", *on_grid(["low"], 3), *on_grid(["high"], 3), "keep")
 
 
+@query
+def fitted_preprocessing(spark, sf):
+    """Rules of the matches before 1998 outside Europe, applied to all: a constant goes, Europe is a level not seen, missing numbers stay."""
+    rows = matches(C.team_match(spark, sf)).select(
+        "match_id",
+        "date",
+        F.nullif(F.col("score_home") % 7, F.lit(0.0)).alias("home"),
+        F.lit(7.0).alias("constant"),
+        F.when(F.col("score_away") % 11 != 0, F.regexp_extract("team_away", r"^(.*) \w+$", 1)).alias("region"),
+    )
+    past = rows.filter((F.col("date") < F.lit("1998-01-01").cast("date")) & ~F.col("region").eqNullSafe("EUROPE"))
+    path = _scratch(spark)
+    write_table(preprocess.fit_rules(past, ["home", "constant"], ["region"]), path)
+    rules = read_table(spark, T.StructType.fromDDL(preprocess.RULES), path)
+    kept = preprocess.prepare(rows, rules, ["match_id"], training=True).select("match_id", F.lit(True).alias("trainable"))
+    return preprocess.prepare(rows, rules, ["match_id"]).join(kept, "match_id", "left")
+
+
 STUMP_PREDICTORS = ["round", "weekday", "away_nation"]
 
 

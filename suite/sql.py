@@ -505,3 +505,10 @@ ORACLES["carried_rest_days"] = ORACLES["rest_days"]
 ORACLES["bulk_load"] = ORACLES["versioned_read_back"]
 
 ORACLES["bulk_load_ladder"] = ORACLES["ladder_position"]
+
+_REGION = "CASE WHEN score_away % 11 <> 0 THEN regexp_extract(team_away, '^(.*) [A-Za-z0-9_]+$', 1) END"
+ORACLES["fitted_preprocessing"] = f"""WITH {TEAM}, {MATCHES},
+rows_ AS (SELECT match_id, nullif(score_home % 7, 0) AS home, {_REGION} AS region FROM matches)
+SELECT match_id, home, {", ".join(f"(region = '{r}')::DOUBLE AS region_{r.lower().replace(' ', '_')}" for r in ("AMERICA", "ASIA", "MIDDLE EAST"))},
+       (region = 'EUROPE')::DOUBLE AS region_new, CASE WHEN home IS NOT NULL AND region IS NOT NULL THEN true END AS trainable
+FROM rows_"""
