@@ -231,21 +231,24 @@ def _ewma_skip(rows, key, cols, lam, width):
     )
     rows = rows.selectExpr("*", *[f"`{c}` * (1D - {lit}) * pow({lit}, -(`_n_{c}` + 1)) AS `_t_{c}`" for c in cols])
     rows = rows.selectExpr("*", *[f"coalesce(sum(`_t_{c}`) OVER {over}, 0D) AS `_b_{c}`" for c in cols])
-    if len(key) == 1 and key[0] == "_hk":
-        rows = cut(rows)  # of hot keys: read twice
+    hot = list(key) == ["_hk"]
+    if hot:
+        rows = cut(rows)  # read twice
     blocks = rows.groupBy(*by).agg(
         F.expr(f"array({', '.join(f'count(`{c}`)' for c in cols)}) AS n"),
         F.expr(f"array({', '.join(f'coalesce(min_by(`{c}`, _ix) FILTER (WHERE `{c}` IS NOT NULL), 0D)' for c in cols)}) AS f"),
         F.expr(f"array({', '.join(f'coalesce(sum(`_t_{c}`), 0D) * pow({lit}, count(`{c}`))' for c in cols)}) AS b"),
     )
-    several = F.max("_blk").over(Window.partitionBy(*key)) > 0
-    carried = _carried(blocks.withColumn("_several", several).filter("_several").drop("_several"), key, lam)
+    if hot:
+        carried = _carried(blocks, key, lam).selectExpr(*by, *[f"IF(_known[{i}], _state[{i}], NULL) AS `_c_{c}`" for i, c in enumerate(cols)])
+    else:  # at most hot_rows / width blocks of a key are in a list
+        past = f"collect_list(struct(n, f, b)) OVER (PARTITION BY {_names(key)} ORDER BY _blk {_BEFORE}) AS past"
+        step = "(s, x) -> IF(x.n[{i}] > 0, pow({lit}, x.n[{i}]) * coalesce(s, x.f[{i}]) + x.b[{i}], s)"
+        start = [f"aggregate(past, CAST(NULL AS DOUBLE), {step.format(i=i, lit=lit)}) AS `_c_{c}`" for i, c in enumerate(cols)]
+        carried = blocks.selectExpr(*by, "n", "f", "b", past).filter("_blk > 0").selectExpr(*by, *start)
     rows = null_safe_join(rows, carried, by, "left")
-    state = [
-        f"pow({lit}, `_n_{c}`) * (coalesce(IF(_known[{i}], _state[{i}], NULL), `_f_{c}`) + `_b_{c}`) AS `_s_{c}`"
-        for i, c in enumerate(cols)
-    ]
-    return rows.selectExpr("*", *state).drop("_blk", "_known", "_state", *[f"_{p}_{c}" for c in cols for p in "nftb"])
+    state = [f"pow({lit}, `_n_{c}`) * (coalesce(`_c_{c}`, `_f_{c}`) + `_b_{c}`) AS `_s_{c}`" for c in cols]
+    return rows.selectExpr("*", *state).drop("_blk", *[f"_{p}_{c}" for c in cols for p in "cnftb"])
 
 
 def _compose(n, f, b, lam, known=None, state=None):
@@ -276,7 +279,7 @@ def _carried(blocks: DataFrame, key: Sequence[str], lam: float, chunk: int = CHU
         return pd.DataFrame({**out, "_blk": pdf["_blk"].to_numpy(), "_known": list(held[:-1]), "_state": list(now[:-1])})
 
     blocks = blocks.withColumn("_up", F.floor(F.col("_blk") / chunk))
-    if not key or key[0] != "_hk" or (blocks.agg(F.max("_up")).first()[0] or 0) == 0:
+    if (blocks.agg(F.max("_up")).first()[0] or 0) == 0:
         return blocks.groupBy(*key).applyInPandas(lambda names, pdf: scan(_plain(names), pdf), out)
 
     def whole(names, pdf):
