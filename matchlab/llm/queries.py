@@ -75,9 +75,12 @@ def op7_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchlab.llm.storage import store
     from matchlab.llm.warc import page_rows, read_archives, write_archives
 
-    return page_rows(read_archives(write_archives(_table(spark, sf_dir, "pages"))))
+    # The stored rows hold the gaps too: quarantine(records) is their log.
+    records = store(read_archives(write_archives(_table(spark, sf_dir, "pages")), blocks=False), "warc-records")
+    return page_rows(records)
 
 
 def op9_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -131,3 +131,78 @@ def test_salvage(pack):
     got, gaps = damaged(raw, lambda r: b"".join([*r[:3], r[3][:40], *r[4:]]))
     assert got == blocks[:3] + blocks[4:] and len(gaps) == 1
     assert damaged([], lambda r: b"\0" * 3_000_000)[0] == []
+
+
+def test_members_with_several_records():
+    blocks = [os.urandom(40 + k) for k in range(6)]
+    raw = [warc.record(k, "u", b, warc.base32_sha1(b), None) for k, b in enumerate(blocks)]
+    one = warc.member(raw[0] + raw[1])
+    got, gaps = damaged([one, warc.member(raw[2])], b"".join)
+    assert got == blocks[:3] and gaps == []
+    wrong = raw[3].replace(blocks[3], os.urandom(len(blocks[3])))  # the gzip check passes, the block digest does not
+    got, gaps = damaged([warc.member(raw[2] + wrong + raw[4]), warc.member(raw[5] + wrong)], b"".join)
+    assert got == [blocks[2], blocks[4], blocks[5]]
+    assert [(g[3]["reason"], g[3]["member-start"], g[3]["member-end"]) for g in gaps] == [
+        ("block digest", str(len(raw[2])), str(len(raw[2]) + len(wrong))),
+        ("block digest", str(len(raw[5])), str(len(raw[5]) + len(wrong))),
+    ]
+    got, gaps = damaged([warc.member(wrong), warc.member(b""), warc.member(raw[0])], b"".join)
+    assert got == blocks[:1] and len(gaps) == 1
+
+
+def test_a_member_that_inflates_beyond_the_limit_is_a_gap():
+    small, large = b"x" * 100, b"y" * 100_000
+    raw = [warc.member(warc.record(k, "u", b, warc.base32_sha1(b), None)) for k, b in enumerate((small, large, small))]
+    data = b"".join(raw)
+    found = list(warc.salvage(pa.BufferReader(data), len(data), limit=5000))
+    assert [(r[0], r[4]) for r in found] == [("record", small), ("gap", b""), ("record", small)]
+    assert found[1][1:3] == (len(raw[0]), len(raw[0]) + len(raw[1])) and "limit" in found[1][3]["reason"]
+
+
+@pytest.mark.parametrize("pack", [warc.member, lambda raw: raw])
+def test_damage_costs_no_more_than_reading(pack):
+    """Bytes read from a file half of whose records are damaged grow with the file, not with its square."""
+
+    class Counted:
+        def __init__(self, data):
+            self.data, self.read = data, 0
+
+        def read_at(self, n, at):
+            self.read += n
+            return self.data[at : at + n]
+
+    for n in (200, 1600):
+        parts = []
+        for k in range(n):
+            block = os.urandom(6000)
+            r = bytearray(pack(warc.record(k, "u", block, warc.base32_sha1(block), None)))
+            if k % 2:
+                r[len(r) // 2] ^= 255
+            parts.append(bytes(r))
+        data = b"".join(parts)
+        f = Counted(data)
+        kinds = [r[0] for r in warc.salvage(f, len(data))]
+        assert kinds.count("record") == n // 2
+        assert f.read < 4 * max(len(data), warc.CHUNK)
+
+
+def test_damaged_archives_through_spark(spark):
+    """Files are damaged between writing and reading: the rest comes back, and the log names every lost byte."""
+    pages = spark.createDataFrame([(i, f"http://{i}", f"page {i} " * 50) for i in range(60)], "page_id long, url string, html string").coalesce(2)
+    files = warc.write_archives(pages)
+    lost, junk = 0, b"\x1f\x8b\x08 no member WARC/1.1 no record"
+    for r in files.collect():
+        local = r.path.removeprefix("file:")
+        with open(local, "rb") as f:
+            data = f.read()
+        cut = len(data) // 2
+        with open(local, "wb") as f:
+            f.write(data[:cut] + junk + data[cut + 10 :])
+        lost += 1
+    records = warc.read_archives(files, blocks=False).cache()
+    ids = [r.page_id for r in warc.page_rows(records).collect()]
+    assert len(ids) == len(set(ids)) == 60 - lost
+    log = warc.quarantine(records).collect()
+    assert len(log) == lost and all(g.end - g.start > len(junk) and g.reason for g in log)
+    whole = warc.page_rows(warc.read_archives(files)).collect()
+    assert sorted(map(str, whole)) == sorted(map(str, warc.page_rows(records).collect()))
