@@ -32,6 +32,9 @@ NOTICES = (
     ("all rights reserved", "all-rights-reserved"),
 )
 
+#: Length of text that is searched at once, in lengths of the notice.
+WINDOW = 8
+
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
@@ -59,27 +62,38 @@ class Notice:
         return regex.compile(f"(?b)(?:{regex.escape(self.text)}){{e<={self.edits}}}")
 
     def matches(self, text: str) -> list[tuple[int, int, int]]:
-        """(start, end, edits) of the notice in a lower-cased text, without overlap."""
+        """(start, end, edits) of the notice in a lower-cased text, without overlap, in order.
+
+        Candidates that overlap are searched together up to WINDOW times the notice's length, so the work is linear in the text;
+        the next window begins where its own first candidate does, so none is cut. In a window the match with the fewest edits
+        comes first, then what is left of it and what is right.
+        """
         size, near = len(self.text), []
         for at, seed in self.seeds:
             p = text.find(seed)
             while p >= 0:
                 near.append((max(0, p - at - self.edits), min(len(text), p - at + size + self.edits)))
                 p = text.find(seed, p + 1)
-        found, stop = [], 0
+        found, stop, limit = [], 0, WINDOW * size
         near.sort()
         k = 0
         while k < len(near):
             begin, end = near[k]
-            while k + 1 < len(near) and near[k + 1][0] < end:  # candidates that overlap are searched at once
+            while k + 1 < len(near) and near[k + 1][0] < end and max(end, near[k + 1][1]) - begin <= limit:
                 k += 1
                 end = max(end, near[k][1])
             k += 1
-            for m in self.pattern.finditer(text, max(begin, stop), end):
-                found.append((m.start(), m.end(), sum(m.fuzzy_counts)))
-                stop = m.end()
+            here = self._within(text, max(begin, stop), end)
+            found += here
+            stop = max([stop, *(e for _, e, _ in here)])
         return found
 
+    def _within(self, text: str, begin: int, end: int) -> list[tuple[int, int, int]]:
+        if end - begin < len(self.text) - self.edits or not (m := self.pattern.search(text, begin, end)):
+            return []
+        here = (m.start(), m.end(), sum(m.fuzzy_counts))
+        return [*self._within(text, begin, m.start()), here, *self._within(text, m.end(), end)]
+
 
 def _filter_pattern(notices: tuple[Notice, ...]) -> str:
     """Any seed of any notice, either case; a filter only."""

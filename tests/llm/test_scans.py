@@ -231,3 +231,65 @@ def test_seeds_are_a_pigeonhole_split():
 def test_queries_run(spark, sf, name):
     rows = QUERIES[name](spark, sf).collect()
     assert rows and np.all([r.doc_id is not None for r in rows])
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def near_notice(rnd, text, edits):
+    out = list(text)
+    for _ in range(edits):
+        at = rnd.randrange(len(out))
+        out[at : at + 1] = rnd.choice([[], ["\u00fc"], [out[at], "x"]])
+    return "".join(out)
+
+
+def test_spans_and_score_of_planted_notices(spark):
+    """Every planted notice is covered by a span of its label; every span has the edits that it states; the score is the best span's."""
+    rnd = random.Random(11)
+    wanted = [licenses.Notice(t, label) for t, label in licenses.NOTICES]
+    rows, planted = [], {}
+    for i in range(60):
+        parts, at, own = [], 0, []
+        for _ in range(rnd.randrange(6)):
+            n = rnd.choice(wanted)
+            filler = " ".join(rnd.choice(["lorem", "sit", "dolor"]) for _ in range(rnd.randrange(1, 6))) + " "
+            text = near_notice(rnd, n.text, rnd.randrange(n.edits + 1))
+            own.append((at + len(filler), at + len(filler) + len(text), n.label))
+            parts += [filler, text.upper() if rnd.random() < 0.2 and text.isascii() else text, " "]
+            at += len(filler) + len(text) + 1
+        rows.append((i, "".join(parts)))
+        planted[i] = own
+    got = {r.doc_id: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        low, spans = text.translate(licenses._LOWER), []
+        for s in filter(None, got[i].notice_spans.split(",")):
+            label, a, b, d = s.split(":")
+            a, b, d = int(a), int(b), int(d)
+            sizes = [len(n.text) for n in wanted if n.label == label and distance(low[a:b], n.text) <= d <= n.edits]
+            assert sizes, s
+            spans.append((a, b, label, max(1 - d / n for n in sizes)))
+        for a, b, label in planted[i]:
+            assert any(x == label and min(b, e) - max(a, s) > 0.6 * (b - a) for s, e, x, _ in spans), (i, label, spans)
+        base = got[i].n_base > 0
+        assert got[i].score == pytest.approx(1.0 if base else max((v for *_, v in spans), default=0.0), abs=0.02)
+
+
+def test_repeated_near_notices_are_all_found_in_linear_time():
+    import time
+
+    notice = licenses.Notice("all rights reserved", "x")
+    seconds = []
+    for n in (1000, 8000):
+        start = time.perf_counter()
+        assert len(notice.matches("all rights reservad " * n)) == n
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 24 * seconds[0]
+    mixed = notice.matches("all rights reservad all rights reserved all rigts reserved ")
+    assert [d for _, _, d in mixed] == [1, 0, 1]
