@@ -442,6 +442,15 @@ def fuzzy_left_join(spark, sf):
     return out.select(*[c for c in out.columns if c not in dist], *on_grid(dist, 6))
 
 
+@query
+def fuzzy_vocabulary(spark, sf):
+    """All different words of the texts against themselves: 10^5 and more."""
+    texts = spark.read.parquet(f"{sf}/documents.parquet")
+    words = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"))).alias("word")).distinct()
+    pairs = names.similar_values(words, words, 0.05)
+    return pairs.filter(F.col("value") < F.col("value_right")).select("value", "value_right", *on_grid(["distance"], 6))
+
+
 @query
 def lineup_resolution(spark, sf):
     first, last = _name_parts("p_name")

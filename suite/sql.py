@@ -512,3 +512,7 @@ rows_ AS (SELECT match_id, nullif(score_home % 7, 0) AS home, {_REGION} AS regio
 SELECT match_id, home, {", ".join(f"(region = '{r}')::DOUBLE AS region_{r.lower().replace(' ', '_')}" for r in ("AMERICA", "ASIA", "MIDDLE EAST"))},
        (region = 'EUROPE')::DOUBLE AS region_new, CASE WHEN home IS NOT NULL AND region IS NOT NULL THEN true END AS trainable
 FROM rows_"""
+
+ORACLES["fuzzy_vocabulary"] = f"""WITH v AS MATERIALIZED (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM documents)
+SELECT a.w AS value, b.w AS value_right, {q("1 - jaro_similarity(a.w, b.w)", 6)} AS distance
+FROM v a JOIN v b ON a.w < b.w AND 1 - jaro_similarity(a.w, b.w) <= 0.05 + 1e-12"""

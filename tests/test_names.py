@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchlab.functions.jaro import jaro_similarity
-from matchlab.operators.names import canonical_team, fuzzy_left_join, map_values, resolve_lineup, similar_values
+from matchlab.operators.names import _packed, candidate_pairs, canonical_team, fuzzy_left_join, map_values, resolve_lineup, similar_values
 from matchlab.operators.teams import local_alias_table
 
 
@@ -28,6 +28,33 @@ def test_prefix_join_loses_no_pair(spark, max_dist):
     assert got == pytest.approx(want)
 
 
+def test_long_and_odd_strings_lose_no_pair(spark):
+    rng = random.Random(9)
+    base = ["aaaaaaa", "aaaaaab", "baaaaaa", "zzzzzzzzzz", "Ünïcödé", "ünïcöde", "日本語", "日本誤", "o'neil", "oneil", "ONEIL", "mississippi", "misisippi", "x", "xx", "a b c d e f", "0123456789"]
+    more = ["".join(rng.choice("aeinorst") for _ in range(rng.randint(5, 14))) for _ in range(150)]
+    df = spark.createDataFrame([(w,) for w in sorted({*base, *more})], "w string")
+    vocabulary = [r.w for r in df.collect()]
+    for max_dist in (0.05, 0.22, 0.32):
+        rows = similar_values(df, df, max_dist).collect()
+        got = {(x.value, x.value_right) for x in rows}
+        assert len(got) == len(rows)
+        assert got == {(a, b) for a in vocabulary for b in vocabulary if 1 - jaro_similarity(a, b) <= max_dist + 1e-12}
+
+
+def test_candidates_are_bounded_by_packed_counts(spark):
+    """Of 4000 names against themselves each candidate shares the needed tokens, comes once, and no distance is computed for the rest."""
+    rng = random.Random(1)
+    names = sorted({"".join(rng.choice("etaoinshrdlucmfwypvbgkjqxz") for _ in range(rng.randint(5, 9))) for _ in range(4000)})
+    df = spark.createDataFrame([(w,) for w in names], "w string").repartition(4)
+    left, right = (_packed(df.select(F.col("w").alias(c)), c) for c in ("vl", "vr"))
+    pairs = candidate_pairs(left, right, 0.15)
+    n = pairs.count()
+    assert n == pairs.distinct().count() and n < 0.002 * len(names) ** 2
+    assert pairs.filter("vl = vr").count() == left.filter("toks IS NOT NULL").count()
+    close = similar_values(df, df, 0.15).count()
+    assert len(names) <= close <= n
+
+
 def test_fuzzy_join_keeps_fan_out_and_unmatched(spark):
     left = spark.createDataFrame([(1, "Sebastian", "Kris"), (2, "Nobody", "Xyz"), (3, None, "Kris")], "i int, f string, s string")
     right = spark.createDataFrame([(10, "Sebastian", "Kriss"), (11, "Sebastien", "Kris"), (12, "Zed", "Kris")], "p int, f string, s string")
