@@ -34,6 +34,9 @@ HEADLINE = [
     "upsert_idempotent",
     "model_frame",
     "gbt_stump_scores",
+    "gbt_predictions",
+    "ewma_stats_skip",
+    "versioned_merge",
 ]
 
 

@@ -732,6 +732,15 @@ def gbt_stump_scores(spark, sf):
     return out.select("match_id", "date", "home_team", "away_team", *on_grid(["pred_a", "pred_h"], 9), "pick")
 
 
+@query
+def gbt_predictions(spark, sf):
+    """Ten trees of depth 3 on all differences of the model frame before 2000, predictions for the matches from then on."""
+    past, coming = resample.time_split(cut(build_frame(spark, sf)), F.lit("2000-01-01").cast("date"))
+    fitted = model.fit(model.build_pipeline(params={"tree_depth": 3, "learn_rate": 0.1}, trees=10), past)
+    out = model.score(fitted, coming)
+    return out.select("match_id", "date", "home_team", "away_team", *on_grid(["pred_a", "pred_h"], 6), "pick")
+
+
 @query
 def gbt_stump_importance(spark, sf):
     fitted, rows = _stump(spark, sf)
