@@ -6,37 +6,39 @@ from pyspark.sql import types as T
 
 from matchlab.functions.fixed_values import PLAYER_STATS, TEAM_STATS
 
-_KINDS = {"l": T.LongType(), "s": T.StringType(), "i": T.IntegerType(), "d": T.DoubleType(), "D": T.DateType(), "t": T.TimestampType()}
+_TYPES = {"long": T.LongType(), "string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(), "date": T.DateType(), "timestamp": T.TimestampType()}
 
 
-def struct(spec: str, doubles: list[str] | None = None, tail: str = "") -> T.StructType:
-    """``"match_id:l round:i"`` plus a list of double columns plus a tail in the same notation."""
-    fields = [T.StructField(n, _KINDS[k]) for n, k in (f.split(":") for f in spec.split())]
-    fields += [T.StructField(n, T.DoubleType()) for n in doubles or []]
-    fields += [T.StructField(n, _KINDS[k]) for n, k in (f.split(":") for f in tail.split())]
-    return T.StructType(fields)
+def struct(columns: str, doubles: list[str] | None = None, tail: str = "") -> T.StructType:
+    """``"match_id long, round int"`` plus a list of double columns plus a tail; needs no running session."""
 
+    def fields(text: str) -> list[T.StructField]:
+        pairs = [c.split() for c in text.split(",") if c.strip()]
+        return [T.StructField(name, _TYPES[kind]) for name, kind in pairs]
 
+    return T.StructType(fields(columns) + [T.StructField(n, T.DoubleType()) for n in doubles or []] + fields(tail))
+
+
+# --- fixed values: the tables' columns and types
 SCHEMAS = {
     "ladder": struct(
-        "team:s ladder_points:d points_for:d points_against:d points_diff:d season:i round:i ladder_position:i"
+        "team string, ladder_points double, points_for double, points_against double, points_diff double, season int, round int, ladder_position int"
     ),
     "player_match": struct(
-        "player_id:l firstname:s surname:s team_name:s squad_id:l position:s jumper_number:i "
-        "utc_start:D match_id:l competition_id:l round:i team_location:s",
+        "player_id long, firstname string, surname string, team_name string, squad_id long, position string, jumper_number int, utc_start date, match_id long, competition_id long, round int, team_location string",
         PLAYER_STATS,
-        "season:i",
+        "season int",
     ),
     "team_match": struct(
-        "competition_id:l match_id:l round:i team_name:s team_location:s utc_start:D", TEAM_STATS
+        "competition_id long, match_id long, round int, team_name string, team_location string, utc_start date", TEAM_STATS
     ),
-    "player_key": struct("player_id:l firstname:s surname:s"),
-    "lineup": struct("firstname:s surname:s position:s team:s"),
-    "results": struct("season:i round:i date:D home_team:s away_team:s home_score:d away_score:d"),
-    "odds": struct("home_odds_close:d away_odds_close:d home_score:d away_score:d"),
-    "prediction_log": struct("pred_a:d pred_h:d match_id:l date:D away_team:s home_team:s pick:s"),
+    "player_key": struct("player_id long, firstname string, surname string"),
+    "lineup": struct("firstname string, surname string, position string, team string"),
+    "results": struct("season int, round int, date date, home_team string, away_team string, home_score double, away_score double"),
+    "odds": struct("home_odds_close double, away_odds_close double, home_score double, away_score double"),
+    "prediction_log": struct("pred_a double, pred_h double, match_id long, date date, away_team string, home_team string, pick string"),
     "experiments_log": struct(
-        "timestamp:t algorithm:s feature_set:s resample_scheme:s logloss:d notes:s"
+        "timestamp timestamp, algorithm string, feature_set string, resample_scheme string, logloss double, notes string"
     ),
 }
 

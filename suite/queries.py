@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlab.functions.columns import result_code, week_floor
-from matchlab.functions.fixed_values import LADDER_COLUMNS, PLAYER_FEATURES, TEAM_STATS
+from matchlab.functions.fixed_values import LADDER_COLUMNS, PLAYER_FEATURES, ROLE_ALIASES, TEAM_STATS, UNUSED_ROLE
 from matchlab.operators import form, frame, metrics, model, names, preprocess, ratings, resample, teams
 from matchlab.operators.keyed import first_per_key, player_key
 from matchlab.operators.ordered import carried_ewma, lagged_ewma
@@ -453,12 +453,13 @@ def fuzzy_vocabulary(spark, sf):
 
 @query
 def lineup_resolution(spark, sf):
+    wing, second_row = ROLE_ALIASES
     first, last = _name_parts("p_name")
     nation, region = C.table(spark, sf, "nation"), C.table(spark, sf, "region")
     role = (
-        F.when(F.col("p_type") == "SMALL", "Winger")
-        .when(F.col("p_type") == "LARGE", "2nd")
-        .when(F.col("p_type") == "PROMO", "Reserve")
+        F.when(F.col("p_type") == "SMALL", wing)
+        .when(F.col("p_type") == "LARGE", second_row)
+        .when(F.col("p_type") == "PROMO", UNUSED_ROLE)
         .otherwise("Prop")
     )
     suppliers = C.row_bound(spark, sf, "supplier")

@@ -98,7 +98,7 @@ def test_upsert_corrects_and_is_idempotent(spark):
 
 def test_upsert_table_rewrites_only_touched_seasons(spark, tmp_path):
     path = str(tmp_path / "t")
-    schema = struct("id:l x:d season:i")
+    schema = struct("id long, x double, season int")
     first = spark.createDataFrame([(1, 1.0, 2020), (2, 2.0, 2021)], schema)
     upsert_table(spark, path, schema, first, ["id"])
     before = {p.name for p in (tmp_path / "t" / "season=2020").glob("*.parquet")}
@@ -134,7 +134,7 @@ def test_files_of_a_folder_with_different_headers(spark, tmp_path):
         (folder / part / "a b+c.csv").write_text(text)
     rows = read_table(spark, "player_key", str(folder), "csv").orderBy("player_id").collect()
     assert [tuple(r) for r in rows] == [(1, "Ann", "Smith"), (2, "Kim", "Bob"), (3, "Bo", "Ng"), (4, "Di", "Lee")]
-    wide = struct("player_id:l firstname:s surname:s season:i")
+    wide = struct("player_id long, firstname string, surname string, season int")
     assert sorted((r.player_id, r.season) for r in read_table(spark, wide, str(folder), "csv").collect()) == [(i, i) for i in range(1, 5)]
     (folder / "season=3" / "a b+c.csv").write_text("surname,player_id\nNg,3\n")
     with pytest.raises(ValueError, match="firstname"):
