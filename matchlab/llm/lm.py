@@ -116,71 +116,100 @@ class Model:
         near = np.exp(self.distance)[::-1].astype(np.float32)
         return q, k, g, np.ascontiguousarray(e, np.float32), v, near
 
-    def _logits(self, windows: np.ndarray, tables):
-        """Class logits (rows of windows times SPAN) and what the gradient needs. windows: classes of KEYS tokens each."""
+    def _logits(self, windows: np.ndarray, tables, work: "Work"):
+        """Class logits (rows of windows times SPAN) and what the gradient needs, all in arrays of `work`. windows: classes of KEYS tokens each."""
         _, _, _, e, v, near = tables
-        windows = windows.astype(np.intp)
-        cq = windows[:, CONTEXT - 1 :]
-        pair = (cq * (CLASSES + 2))[:, :, None] + np.lib.stride_tricks.sliding_window_view(windows, CONTEXT, 1)
-        a = np.zeros((len(windows), SPAN, KEYS), np.float32)
-        np.multiply(e.ravel().take(pair, mode="clip"), near, out=_seen(a))
-        vk = v[windows]
-        summed = a @ vk
-        den = summed[:, :, -1:] + np.float32(1e-20)
-        att = summed[:, :, :-1] / den
-        h = (self.embed[cq] + att).reshape(-1, WIDTH)
-        z = h @ self.out
-        z += self.bias
-        np.minimum(z, 80, out=z)  # so that no sum of exponentials overflows
-        return z, (cq, windows, pair, a, vk, den, att, h)
+        n = len(windows)
+        cls = work.array("cls", (n, KEYS), np.intp)
+        cls[:] = windows
+        cq = cls[:, CONTEXT - 1 :]
+        pair = work.array("pair", (n, SPAN, CONTEXT), np.intp)
+        base = np.multiply(cq, CLASSES + 2, out=work.array("base", (n, SPAN), np.intp))
+        row, step = cls.strides
+        np.add(base[:, :, None], np.lib.stride_tricks.as_strided(cls, (n, SPAN, CONTEXT), (row, step, step)), out=pair)
+        weight = e.ravel().take(pair, mode="clip", out=work.array("weight", pair.shape, e.dtype))
+        a = work.array("a", (n, SPAN, KEYS))  # zero where the mask lets nothing through: only _seen(a) is ever written
+        np.multiply(weight, near, out=_seen(a))
+        vk = v.take(cls, axis=0, mode="clip", out=work.array("vk", (n, KEYS, WIDTH + 1), v.dtype))
+        summed = np.matmul(a, vk, out=work.array("summed", (n, SPAN, WIDTH + 1)))
+        den = summed[:, :, -1:]
+        den += np.float32(1e-20)
+        att = np.divide(summed[:, :, :-1], den, out=work.array("att", (n, SPAN, WIDTH)))
+        h = work.array("h", (n * SPAN, WIDTH + 1))  # the last column is 1, for the bias
+        np.add(self.embed.take(cq, axis=0, mode="clip", out=work.array("own", att.shape)), att, out=h.reshape(n, SPAN, -1)[:, :, :-1])
+        h[:, -1] = 1
+        last = np.vstack([self.out, self.bias])
+        z = np.matmul(h, last, out=work.array("z", (n * SPAN, CLASSES)))
+        if n and max(h.max(), -h.min()) * np.abs(last).sum(0).max() > 80:
+            np.minimum(z, 80, out=z)  # so that no sum of exponentials overflows
+        return z, (cls, cq, pair, a, vk, den, att, h)
 
     def forward(self, windows: np.ndarray, tables):
-        """Log probabilities of all classes, and what the gradient needs."""
-        z, held = self._logits(windows, tables)
-        return z - np.log(np.exp(z).sum(1, keepdims=True)), held
+        """Log probabilities of all classes."""
+        z, _ = self._logits(windows, tables, Work())
+        return z - np.log(np.exp(z).sum(1, keepdims=True))
 
-    def target_logp(self, windows: np.ndarray, target: np.ndarray, tables) -> np.ndarray:
+    def target_logp(self, windows: np.ndarray, target: np.ndarray, tables, work: "Work") -> np.ndarray:
         """Log probability of one class per row of forward()."""
-        z, _ = self._logits(windows, tables)
-        own = z[np.arange(len(target)), target]
-        return own - np.log(np.exp(z, out=z).sum(1))
+        z, _ = self._logits(windows, tables, work)
+        own = z.ravel().take(np.arange(len(target)) * CLASSES + target)
+        return own - np.log(np.exp(z, out=z) @ np.ones(CLASSES, np.float32))
 
-    def gradient(self, windows: np.ndarray, target: np.ndarray, real: np.ndarray) -> tuple[float, "Model"]:
+    def gradient(self, windows: np.ndarray, target: np.ndarray, real: np.ndarray, work: "Work") -> tuple[float, "Model"]:
         """Mean negative log likelihood of the real targets and its gradient."""
         tables = q, k, g, _, _, _ = self.tables()
-        z, (cq, windows, pair, a, vk, den, att, h) = self._logits(windows, tables)
+        z, (cls, cq, pair, a, vk, den, att, h) = self._logits(windows, tables, work)
         n = max(1, int(real.sum()))
-        rows = np.arange(len(target))
-        own = z[rows, target]
+        place = np.arange(len(target)) * CLASSES + target
+        own = z.ravel().take(place)
         dz = np.exp(z, out=z)
-        total = dz.sum(1)
+        total = dz @ np.ones(CLASSES, z.dtype)
         loss = -float((own - np.log(total))[real].sum()) / n
-        dz *= (real / np.float32(n) / total)[:, None].astype(dz.dtype)
-        dz[rows, target] -= (real / np.float32(n)).astype(dz.dtype)
-        d_out, d_bias = h.T @ dz, dz.sum(0)
-        dh = (dz @ self.out.T).reshape(att.shape)
-        d_embed = _scatter(cq.ravel(), dh.reshape(-1, WIDTH))
-        ds = np.concatenate([dh / den, -(dh * att).sum(2, keepdims=True) / den], 2)
-        da = ds @ vk.transpose(0, 2, 1)
-        dv = _scatter(windows.ravel(), (a.transpose(0, 2, 1) @ ds).reshape(-1, WIDTH + 1))[:, :-1]
-        da = _seen(da) * _seen(a)
-        d_distance = da.sum((0, 1))[::-1].astype(np.float32)
+        share = (real / np.float32(n)).astype(z.dtype)
+        dz *= (share / total)[:, None]
+        dz.ravel()[place] -= share
+        d_last = h.T @ dz
+        dh = np.matmul(dz, self.out.T, out=work.array("dh", (len(dz), WIDTH))).reshape(att.shape)
+        d_embed = _scatter(cq, dh)
+        ds = work.array("ds", vk.shape[:1] + (SPAN, WIDTH + 1))
+        np.divide(dh, den, out=ds[:, :, :-1])
+        np.einsum("nsd,nsd->ns", ds[:, :, :-1], att, out=ds[:, :, -1])
+        np.negative(ds[:, :, -1], out=ds[:, :, -1])
+        da = np.matmul(ds, vk.transpose(0, 2, 1), out=work.array("da", a.shape))
+        dv = _scatter(cls, np.matmul(a.transpose(0, 2, 1), ds, out=work.array("dvk", vk.shape)))[:, :-1]
+        da = np.multiply(_seen(da), _seen(a), out=work.array("weight", pair.shape))
+        d_distance = (np.ones(len(windows) * SPAN, z.dtype) @ da.reshape(-1, CONTEXT))[::-1].astype(np.float32)
         dg = np.bincount(pair.ravel(), weights=da.ravel(), minlength=(CLASSES + 2) ** 2).reshape(CLASSES + 2, -1).astype(np.float32)
         dg[np.abs(g) >= 15] = 0
         dg *= np.float32(WIDTH**-0.5)
         dq, dk = dg @ k, dg.T @ q
         d_embed += dq @ self.query.T + dk @ self.key.T + dv @ self.value.T
-        return loss, Model(d_embed, self.embed.T @ dq, self.embed.T @ dk, self.embed.T @ dv, d_distance, d_out, d_bias)
+        return loss, Model(d_embed, self.embed.T @ dq, self.embed.T @ dk, self.embed.T @ dv, d_distance, d_last[:-1], d_last[-1])
+
+
+class Work:
+    """Arrays that are used again from batch to batch; a fresh one of megabytes costs more than the sums in it."""
+
+    def __init__(self, dtype=np.float32):
+        self.dtype, self.held = dtype, {}
+
+    def array(self, name: str, shape: tuple, dtype=None) -> np.ndarray:
+        """The first places of a held array in this shape; zeros when it is new."""
+        size = int(np.prod(shape))
+        if name not in self.held or len(self.held[name]) < size:
+            self.held[name] = np.zeros(size, dtype or self.dtype)
+        return self.held[name][:size].reshape(shape)
 
 
 def _scatter(cls: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sum of the rows of each class."""
-    order = np.argsort(cls.astype(np.uint8), kind="stable")  # a radix sort
+    """Sum of the rows of each class: sorted by class, one product with ones for each."""
+    cls = cls.ravel()
+    rows = rows.reshape(len(cls), -1).take(np.argsort(cls.astype(np.uint8), kind="stable"), axis=0)  # a radix sort
     count = np.bincount(cls, minlength=CLASSES + 2)
-    held = np.flatnonzero(count)
-    first = (np.cumsum(count) - count)[held]
-    out = np.zeros((CLASSES + 2, rows.shape[1]), np.float32)
-    out[held] = np.add.reduceat(rows[order], first, axis=0)
+    stop, one = np.cumsum(count), np.ones(int(count.max()), rows.dtype)
+    out = np.zeros((CLASSES + 2, rows.shape[1]), rows.dtype)
+    for c in np.flatnonzero(count):
+        out[c] = one[: count[c]] @ rows[stop[c] - count[c] : stop[c]]
     return out
 
 
@@ -248,7 +277,7 @@ def train(texts: DataFrame, cls: np.ndarray, log_class: np.ndarray, rounds: int
         def fit(batches, start=start, learned=learned):
             flat, cls, log_class = start.value
             like = Model.fresh(log_class)
-            adam, tokens, rest = Adam(learned), 0, None
+            adam, tokens, work = Adam(learned), 0, Work()
             for b in batches:
                 for _, _, _, c, first in _runs(b.column(0).to_pylist(), cls):
                     w, target, token = make_windows(c, first)
@@ -258,7 +287,7 @@ def train(texts: DataFrame, cls: np.ndarray, log_class: np.ndarray, rounds: int
                         at = (pick[:, None] * SPAN + np.arange(SPAN)).ravel()
                         real = token[at] >= 0
                         goal = np.where(real, target[at], 0)
-                        _, grad = Model.of(flat, like).gradient(w[pick], goal, real)
+                        _, grad = Model.of(flat, like).gradient(w[pick], goal, real, work)
                         flat = adam.step(flat, grad.flat()).astype(np.float32)
                     tokens += len(c)
             if tokens:
@@ -275,7 +304,7 @@ def train(texts: DataFrame, cls: np.ndarray, log_class: np.ndarray, rounds: int
 
 def log_likelihoods(model: Model, cls: np.ndarray, members: np.ndarray, blobs: list) -> np.ndarray:
     """log10 probability of each text of ids; windows go through the attention in batches."""
-    out, tables = np.zeros(len(blobs)), model.tables()
+    out, tables, work = np.zeros(len(blobs)), model.tables(), Work()
     for i, j, ids, c, first in _runs(blobs, cls):
         w, target, token = make_windows(c, first)
         before = np.concatenate([[CLASSES], c[:-1]]).astype(np.int64)
@@ -284,7 +313,7 @@ def log_likelihoods(model: Model, cls: np.ndarray, members: np.ndarray, blobs: l
         for k in range(0, len(w), BATCH):
             t = token[k * SPAN : (k + BATCH) * SPAN]
             real = t >= 0
-            logp = model.target_logp(w[k : k + BATCH], np.where(real, target[k * SPAN : (k + BATCH) * SPAN], 0), tables)
+            logp = model.target_logp(w[k : k + BATCH], np.where(real, target[k * SPAN : (k + BATCH) * SPAN], 0), tables, work)
             each[t[real]] += logp[real]
         text = np.repeat(np.arange(j - i), np.diff(first))
         out[i:j] = np.bincount(text, weights=each, minlength=j - i)

@@ -15,16 +15,25 @@ from pyspark.sql import functions as F
 from matchlab.llm import textkit
 from matchlab.llm.storage import filesystem, put, shared_folder, store
 
+#: A character with an id of its own that stands after each piece of a line, and pieces of a line; a call of the library costs more than a short piece.
+MARK, LINE = "\x01", 64
+
+#: Pieces are also cut between ASCII letters or digits and these, where the tokenizer does so itself.
+STOPS = ".,;:!?"
+_KIND = np.zeros(256, np.uint8)
+_KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
+_KIND[list(STOPS.encode())] = 2
+
 _tokenizers: dict[str, "PieceTokenizer"] = {}
 
 
 class PieceTokenizer:
     """Ids of texts by a tokenizer that drops white space between pieces, each distinct piece encoded once.
 
-    Texts are cut at the given bytes of white space only; a piece then gets what the library gives for it, so
-    the ids of a text are those of the library for the whole text. That holds for tokenizers whose
-    normaliser and splitting never look across white space and drop it (a test compares both). The
-    memory of pieces is bounded and only saves time.
+    Texts are cut at bytes of white space, and between letters and stops where the tokenizer always splits there; a piece
+    then gets what the library gives for it, so the ids of a text are those of the library for the whole text. That holds
+    for tokenizers whose normaliser and splitting never look across white space and drop it (a test compares both). Where
+    the normaliser lower-cases, pieces are lower-cased first. The memory of pieces is bounded and only saves time.
     """
 
     def __init__(self, path: str, remember: int = 1_500_000):
@@ -33,6 +42,12 @@ class PieceTokenizer:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.library = Tokenizer.from_file(path)
         self.remember = remember
+        ids = lambda x: self.library.encode(x, add_special_tokens=False).ids
+        mark, a = ids(MARK), ids("a")
+        self.mark = mark[0] if len(mark) == 1 and ids(f"a {MARK} a") == a + mark + a else None
+        self.added = [x.content.lower().encode() for x in self.library.get_added_tokens_decoder().values()]
+        self.lowers = self.library.normalizer is not None and self.library.normalizer.normalize_str("AMZ") == "amz"
+        self.cuts = not any(c in x.decode() for x in self.added for c in STOPS) and all(ids(f"ab{c}1{c}b") == ids("ab") + ids(c) + ids("1") + ids(c) + ids("b") for c in STOPS)
         self.forget()
 
     def forget(self) -> None:
@@ -44,18 +59,45 @@ class PieceTokenizer:
     def _learn(self, data: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         raw = data.tobytes()
         pieces = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts.tolist(), ends.tolist())]
-        ids = [x.ids for x in self.library.encode_batch(pieces, add_special_tokens=False)]
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), self.flat.dtype, int(count.sum()))
-        place = np.arange(len(self.first) - 1, len(self.first) - 1 + len(ids))
+        alone = np.array([self.mark is None or MARK in x for x in pieces], bool)
+        order = np.argsort(alone, kind="stable")
+        joined, flat, counts = len(pieces) - int(alone.sum()), [self.flat], []
+        for k in range(0, joined, LINE * LINE):
+            part = [pieces[i] for i in order[k : min(joined, k + LINE * LINE)]]
+            lines = [f" {MARK} ".join([*part[i : i + LINE], ""]) for i in range(0, len(part), LINE)]
+            ids = np.concatenate([np.array(x.ids, np.int64) for x in self.library.encode_batch_fast(lines, add_special_tokens=False)])
+            stop = np.flatnonzero(ids == self.mark)
+            counts.append(np.diff(stop, prepend=-1) - 1)
+            flat.append(np.delete(ids, stop).astype(self.flat.dtype))
+        for k in range(joined, len(pieces), LINE * LINE):
+            ids = [x.ids for x in self.library.encode_batch_fast([pieces[i] for i in order[k : k + LINE * LINE]], add_special_tokens=False)]
+            counts.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat.append(np.fromiter((i for x in ids for i in x), self.flat.dtype, int(counts[-1].sum())))
+        count, place = np.concatenate(counts), np.empty(len(pieces), np.int64)
+        place[order] = np.arange(len(self.first) - 1, len(self.first) - 1 + len(pieces))
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(count)])
-        self.flat = np.concatenate([self.flat, flat])
+        self.flat = np.concatenate(flat)
         at = np.searchsorted(self.keys, keys)
         self.keys, self.place = np.insert(self.keys, at, keys), np.insert(self.place, at, place)
 
+    def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and ends of the pieces, and the index of each row's first."""
+        starts, ends, first = textkit.words(data, offsets)
+        if not self.cuts or not len(starts):
+            return starts, ends, first
+        kind = _KIND[data]
+        new = np.flatnonzero(kind[1:] ^ kind[:-1] == 3) + 1
+        new = new[np.isin(new, offsets, invert=True)]
+        starts, ends = np.sort(np.concatenate([starts, new])), np.sort(np.concatenate([ends, new]))
+        return starts, ends, np.searchsorted(starts, offsets)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, and the index of each row's first id."""
-        starts, ends, first = textkit.words(data, offsets)
+        if self.lowers:
+            low = textkit.LOWER[data]
+            raw = low.tobytes()
+            data = data if any(x in raw for x in self.added) else low  # an added token is matched as it is written
+        starts, ends, first = self._pieces(data, offsets)
         hashes = textkit.hash_spans(data, starts, ends)
         keys, where, back = np.unique(hashes, return_index=True, return_inverse=True)
         at = np.searchsorted(self.keys, keys)

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 from matchlab.llm import sharding, tokenfile, warc
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-ODD = ["", None, "a", "Don't STOP!! naïve café́  x y\x1cz <|endoftext|> <|startoftext|>a", "﻿ÀÉ İstanbul ΣΑΣ ͅ", "x" * 5000 + " tail", "tie", "tie", "日本語 テスト\r\n\t\x0b\x0c end", "à ́b"]
+ODD = ["A.B:c;1,2?!x é.e a\u0301.b .5 ..a", "<|ENDOFTEXT|>.A <|endoftext|>!b", "Don'T it'S. 's,'ll", "a\x01b \x01 c", "\x01", "a.", ".b", "", None, "a", "Don't STOP!! naïve café́  x y\x1cz <|endoftext|> <|startoftext|>a", "﻿ÀÉ İstanbul ΣΑΣ ͅ", "x" * 5000 + " tail", "tie", "tie", "日本語 テスト\r\n\t\x0b\x0c end", "à ́b"]
 
 
 def docs(spark, rows, extra="start long, part int"):

@@ -221,7 +221,7 @@ def test_batched_attention_equals_a_plain_loop():
     c = rnd.integers(0, lm.CLASSES, 90).astype(np.uint8)
     m = lm.Model.fresh(np.log(rnd.dirichlet(np.ones(lm.CLASSES))), seed=4)
     w, target, token = lm.make_windows(c, np.array([0, 50, 90]))
-    logp, _ = m.forward(w, m.tables())
+    logp = m.forward(w, m.tables())
     for k, t in enumerate(token):
         if t < 0:
             continue
@@ -244,11 +244,11 @@ def test_gradient():
     wide = lambda f: lm.Model(*(x.reshape(s) for x, s in zip(np.split(f, cuts), shapes)))
     real, goal = token >= 0, np.where(token >= 0, target, 0)
     flat = like.flat().astype(float)
-    grad = wide(flat).gradient(w, goal, real)[1].flat()
+    grad = wide(flat).gradient(w, goal, real, lm.Work(float))[1].flat()
     for i in rnd.integers(0, len(flat), 80):
         step = np.zeros_like(flat)
         step[i] = 3e-3
-        slope = (wide(flat + step).gradient(w, goal, real)[0] - wide(flat - step).gradient(w, goal, real)[0]) / 6e-3
+        slope = (wide(flat + step).gradient(w, goal, real, lm.Work(float))[0] - wide(flat - step).gradient(w, goal, real, lm.Work(float))[0]) / 6e-3
         assert abs(slope - grad[i]) < 2e-4 + 0.03 * abs(slope)
 
 
