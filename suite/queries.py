@@ -342,6 +342,7 @@ _STOPS = [dt.date(1997, 1, 1), dt.date(2000, 2, 3)]
 
 def _continued(rows: DataFrame, step: Callable) -> DataFrame:
     """Union of three spans of time, each continued from the state that the one before left; ``step`` gives (rows, state)."""
+    rows = cut(rows)  # every span reads them
     edges, state, out = [None, *_STOPS, None], None, None
     for low, high in zip(edges, edges[1:]):
         part = rows if low is None else rows.filter(F.col("date") >= F.lit(low))

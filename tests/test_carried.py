@@ -11,7 +11,9 @@ from matchlab.functions.fixed_values import LONG_RUN_K
 from matchlab.operators import ordered
 from matchlab.operators.ordered import carried_ewma, lagged_ewma
 from matchlab.plans import carried
+from matchlab.sources import commerce
 from matchlab.sources import versions as V
+from suite import queries
 
 STATS = ["score", "set_restarts"]
 KS = LONG_RUN_K
@@ -144,3 +146,15 @@ def test_exchanges_do_not_grow_with_the_columns(spark):
         plan = lagged_ewma(df, ["k"], ["t"], cols, 0.9, "skip", rows_bound=100)._jdf.queryExecution().executedPlan().toString()
         counts.add((plan.count("Exchange hashpartitioning"), plan.count("Sort ["), plan.count("Join")))
     assert len(counts) == 1
+
+
+def test_spans_read_their_rows_once(spark, sf):
+    tm, read = commerce.team_match(spark, sf), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = tm.mapInArrow(counted, tm.schema)
+    assert queries._continued(rows, carried.carried_rest).count() == read.value == tm.count()
