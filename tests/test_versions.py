@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchlab.sources import commerce
 from matchlab.sources import versions as V
 from matchlab.streaming.ingest import stream_upsert
+from suite import queries
 
 SCHEMA = T.StructType().add("id", "long").add("season", "integer").add("x", "double")
 
@@ -140,3 +142,16 @@ def test_latest_per_key_needs_no_sort_aggregate(spark):
     df = batch(spark, [(1, 2020, 1.0, 0), (1, 2020, 2.0, 1)], "2024-01-01")
     plan = V.latest_per_key(df, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_extracts_read_their_matches_once(spark, sf, monkeypatch):
+    tm, read = commerce.team_match(spark, sf), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    monkeypatch.setattr(commerce, "team_match", lambda *_: tm.mapInArrow(counted, tm.schema))
+    path, schema = queries._versioned(spark, sf)
+    assert V.read(spark, path, schema).count() == read.value == tm.count()
