@@ -118,3 +118,39 @@ def test_a_common_surname_alone_pairs_nobody(spark):
     assert len(rows) == 400 and all(r.firstname == r.firstname_right for r in rows)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Cross" not in plan and "CartesianProduct" not in plan
+
+
+def test_words_of_few_syllables_meet_only_on_their_common_characters(spark):
+    """All pairs with the needed common characters, each once, and no others: rare tokens alone would pair nearly everything."""
+    from collections import Counter
+
+    from matchlab.operators.names import LEFT_OUT, _lengths, common_pairs, needed
+
+    rng = random.Random(5)
+    some = ["an", "th", "er", "on", "en", "tion", "aaaaa", "日本"]
+    vocabulary = sorted({"".join(rng.choice(some) for _ in range(rng.randint(1, 7))) for _ in range(500)})
+    df = spark.createDataFrame([(w,) for w in vocabulary], "w string").repartition(3)
+    for max_dist in (0.05, 0.15):
+        k = 3 * (1 - max_dist) - 1
+
+        def near(a, b, k=k):
+            need = needed(len(a), len(b), k)
+            return max(len(a), len(b)) - need <= LEFT_OUT and (Counter(a) & Counter(b)).total() >= need
+
+        left, right = df.toDF("vl"), df.toDF("vr")
+        rows = common_pairs(left, right, _lengths(left, "vl"), _lengths(right, "vr"), max_dist).collect()
+        got = {(r.vl, r.vr) for r in rows}
+        assert len(got) == len(rows)
+        assert got == {(a, b) for a in vocabulary for b in vocabulary if near(a, b)}
+        found = {(r.value, r.value_right) for r in similar_values(df, df, max_dist).collect()}
+        assert found == {(a, b) for a in vocabulary for b in vocabulary if 1 - jaro_similarity(a, b) <= max_dist + 1e-12}
+
+
+def test_similarities_side_by_side_equal_one_by_one():
+    from matchlab.functions.jaro import jaro_similarities
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcÄ\U0001f600\0") for _ in range(rng.randint(1, 20)))
+    a = [word() for _ in range(3000)]
+    b = [w if rng.random() < 0.1 else "".join(rng.sample(w, len(w)))[: rng.randint(1, 20)] if rng.random() < 0.5 else word() for w in a]
+    assert jaro_similarities(a, b).tolist() == [jaro_similarity(x, y) for x, y in zip(a, b)]
