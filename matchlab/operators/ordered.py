@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -267,20 +268,60 @@ def _arrays(pdf):
     return (np.vstack(pdf[c].to_numpy()) for c in ("n", "f", "b"))
 
 
-def _carried(blocks: DataFrame, key: Sequence[str], lam: float, chunk: int = CHUNK_ROWS) -> DataFrame:
-    """key, _blk, _known and _state before each block; more than ``chunk`` blocks of a key are composed chunk by chunk first."""
+def _states_before(n, f, b, lam, fresh, held, now, carry):
+    """States before each block of a run of groups, all groups side by side, and the state after the last block.
+
+    fresh: blocks that open a group, whose state is in that row of (held, now); a run that opens amid a group goes on from carry.
+    """
+    at = np.flatnonzero(fresh)
+    inside = len(fresh) > 0 and not fresh[0]
+    at = np.concatenate([[0], at]) if inside else at
+    size = np.diff(np.append(at, len(fresh)))
+    known, state = held[at], now[at]
+    if inside:
+        known[0], state[0] = carry
+    by_size = np.argsort(-size, kind="stable")
+    held, now = held.copy(), now.copy()
+    for i, active in enumerate(len(size) - np.searchsorted(np.sort(size), np.arange(size.max(initial=0)), side="right")):
+        g = by_size[:active]
+        row = at[g] + i
+        held[row], now[row] = known[g], state[g]
+        has = n[row] > 0
+        state[g] = np.where(has, lam ** n[row].astype(float) * np.where(known[g], state[g], f[row]) + b[row], state[g])
+        known[g] |= has
+    return held, now, (known[-1].copy(), state[-1].copy()) if len(at) else carry
+
+
+def _scan(blocks: DataFrame, key: Sequence[str], lam: float, chunk: int) -> DataFrame:
+    """key, _blk, _known and _state before each block. Groups are (key, _blk div chunk) and open with _known and _state, or unknown.
+
+    A task goes through its sorted groups batch by batch: no work per group, and none is held whole.
+    """
     kinds = ", ".join(f"`{k}` {blocks.schema[k].dataType.simpleString()}" for k in key)
-    out = f"{kinds}, _blk long, _known array<boolean>, _state array<double>"
+    opened = "_known" in blocks.columns
+
+    def read(batches):
+        carry = None
+        for x in batches:
+            wide = lambda c, x=x: x.column(c).flatten().to_numpy(zero_copy_only=False).reshape(x.num_rows, -1)
+            blk, n, f, b = x.column("_blk"), wide("n"), wide("f"), wide("b")
+            held, now = (wide("_known"), wide("_state")) if opened else (np.zeros(n.shape, bool), np.zeros(n.shape))
+            held, now, carry = _states_before(n, f, b, lam, blk.to_numpy() % chunk == 0, held, now, carry)
+            ends = pa.array(np.arange(x.num_rows + 1) * n.shape[1], pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(v.ravel())) for v in (held, now)]
+            yield pa.RecordBatch.from_arrays([*(x.column(k) for k in key), blk, *lists], names=[*key, "_blk", "_known", "_state"])
 
-    def scan(names, pdf, known=None, state=None):
-        pdf = pdf.sort_values("_blk")
-        held, now = _compose(*_arrays(pdf), lam, known, state)
-        out = {k: [v] * len(pdf) for k, v in zip(key, names)}
-        return pd.DataFrame({**out, "_blk": pdf["_blk"].to_numpy(), "_known": list(held[:-1]), "_state": list(now[:-1])})
+    blocks = blocks.select(*key, "_blk", F.floor(F.col("_blk") / chunk).alias("_up"), "n", "f", "b", *(["_known", "_state"] if opened else []))
+    rows = blocks.repartition(*key, "_up").sortWithinPartitions(*key, "_blk")
+    return rows.drop("_up").mapInArrow(read, f"{kinds}, _blk long, _known array<boolean>, _state array<double>")
 
-    blocks = blocks.withColumn("_up", F.floor(F.col("_blk") / chunk))
+
+def _carried(blocks: DataFrame, key: Sequence[str], lam: float, chunk: int = CHUNK_ROWS) -> DataFrame:
+    """key, _blk, _known and _state before each block; more than ``chunk`` blocks of a key are composed chunk by chunk first."""
+    kinds = ", ".join(f"`{k}` {blocks.schema[k].dataType.simpleString()}" for k in key)
+    blocks = cut(blocks.withColumn("_up", F.floor(F.col("_blk") / chunk)))
     if (blocks.agg(F.max("_up")).first()[0] or 0) == 0:
-        return blocks.groupBy(*key).applyInPandas(lambda names, pdf: scan(_plain(names), pdf), out)
+        return _scan(blocks, key, lam, chunk)
 
     def whole(names, pdf):
         """A chunk as one block: its own first values, and the sum that the states leave when these count as zero."""
@@ -290,17 +331,9 @@ def _carried(blocks: DataFrame, key: Sequence[str], lam: float, chunk: int = CHU
         first = np.array([f[np.flatnonzero(n[:, c])[0], c] if n[:, c].any() else 0.0 for c in range(n.shape[1])])
         return pd.DataFrame({**{k: [v] for k, v in zip(key, _plain(names))}, "_blk": [names[-1]], "n": [n.sum(axis=0)], "f": [first], "b": [now[-1]]})
 
-    blocks = cut(blocks)
     chunks = blocks.groupBy(*key, "_up").applyInPandas(whole, f"{kinds}, _blk long, n array<long>, f array<double>, b array<double>")
     above = _carried(cut(chunks), key, lam, chunk)
-
-    def inside(names, pdf, opening):
-        if pdf.empty:
-            return pd.DataFrame({**{k: [] for k in key}, "_blk": [], "_known": [], "_state": []})
-        return scan(_plain(names), pdf, opening["_known"].iloc[0].astype(bool), opening["_state"].iloc[0])
-
-    left = blocks.groupBy(*key, "_up")
-    return left.cogroup(above.withColumnRenamed("_blk", "_up").groupBy(*key, "_up")).applyInPandas(inside, out)
+    return _scan(blocks.join(above.withColumnRenamed("_blk", "_up"), [*key, "_up"]), key, lam, chunk)
 
 
 def _plain(names: tuple) -> list:

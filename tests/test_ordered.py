@@ -113,3 +113,23 @@ def test_arguments_are_checked(spark):
         lagged_ewma(df, ["k"], ORDER, ["x"], lam=1.0)
     with pytest.raises(ValueError):
         lagged_ewma(df, ["k"], ORDER, ["x"], nulls="drop")
+
+
+@pytest.mark.parametrize("batch", ["7", "10000"])
+def test_states_of_many_hot_keys_take_no_call_per_key(spark, monkeypatch, batch):
+    """Keys of several blocks are composed side by side, whole tasks at a time, also where a batch ends amid a key."""
+    from matchlab.operators import ordered
+
+    monkeypatch.setattr(ordered, "ewma_width", lambda lam: 4)
+    rng = random.Random(4)
+    data = [(f"k{i % 61}" if i % 62 else None, rng.randrange(40), i, float(rng.randrange(9)), None if rng.random() < 0.5 else float(i % 7)) for i in range(1500)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        out = lagged_ewma(frame(spark, data), ["k"], ORDER, ["x", "y"], 0.9, "skip", hot_rows=2, suffix="_s")
+        assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().optimizedPlan().toString()
+        got = {r.id: (r.x_s, r.y_s) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for col, at in ((3, 0), (4, 1)):
+        for i, w in reference(data, 0.9, "skip", col).items():
+            assert (got[i][at] is None) == (w is None) and (w is None or math.isclose(got[i][at], w, rel_tol=1e-11))
