@@ -136,3 +136,12 @@ def test_duplicate_sides_keep_the_values_of_one_row(spark):
     tm = spark.createDataFrame(rows, "match_id int, round int, date int, team_location string, team_name string, score double")
     got = sorted(tuple(r) for r in pair_matches(tm).select("match_id", "team_home", "score_home", "team_away", "score_away").collect())
     assert got == [(1, "B", 4.0, "C", 2.0), (2, None, None, None, 3.0)]
+
+
+def test_spread_is_judged_once_per_group(spark):
+    rows = [("a", 1.0, 0.3), ("a", 3.0, 0.1 + 0.2), ("b", 5.0, 1.0), ("z", 0.0, None), ("z", 0.0, 2.0)]
+    out = group_scale(spark.createDataFrame(rows, "g string, x double, y double"), ["g"], ["x", "y"])
+    assert "CASE WHEN" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((r.g, r.x, r.y) for r in out.collect() if r.g == "a")
+    assert [g[1] for g in got] == pytest.approx([-0.70710678, 0.70710678]) and [g[2] for g in got] == [None, None]
+    assert all(r.x is None and r.y is None for r in out.collect() if r.g != "a")
