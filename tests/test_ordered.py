@@ -133,3 +133,18 @@ def test_states_of_many_hot_keys_take_no_call_per_key(spark, monkeypatch, batch)
     for col, at in ((3, 0), (4, 1)):
         for i, w in reference(data, 0.9, "skip", col).items():
             assert (got[i][at] is None) == (w is None) and (w is None or math.isclose(got[i][at], w, rel_tol=1e-11))
+
+
+def test_past_of_cold_keys_goes_on_from_batch_to_batch(spark):
+    """One sorted pass: a batch may end amid a key, and no window sums the columns one by one."""
+    data = rows(900)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = lagged_ewma(frame(spark, data), ["k"], ORDER, ["x", "y"], 0.9, hot_rows=10**6, suffix="_s")
+        assert "sum(" not in out._jdf.queryExecution().optimizedPlan().toString()
+        got = {r.id: (r.x_s, r.y_s) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for col, at in ((3, 0), (4, 1)):
+        for i, w in reference(data, 0.9, "poison", col).items():
+            assert (got[i][at] is None) == (w is None) and (w is None or math.isclose(got[i][at], w, rel_tol=1e-11))
