@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -170,13 +172,13 @@ class Model:
         dz.ravel()[place] -= share
         d_last = h.T @ dz
         dh = np.matmul(dz, self.out.T, out=work.array("dh", (len(dz), WIDTH))).reshape(att.shape)
-        d_embed = _scatter(cq, dh)
+        d_embed = _scatter(windows[:, CONTEXT - 1 :], dh)
         ds = work.array("ds", vk.shape[:1] + (SPAN, WIDTH + 1))
         np.divide(dh, den, out=ds[:, :, :-1])
         np.einsum("nsd,nsd->ns", ds[:, :, :-1], att, out=ds[:, :, -1])
         np.negative(ds[:, :, -1], out=ds[:, :, -1])
         da = np.matmul(ds, vk.transpose(0, 2, 1), out=work.array("da", a.shape))
-        dv = _scatter(cls, np.matmul(a.transpose(0, 2, 1), ds, out=work.array("dvk", vk.shape)))[:, :-1]
+        dv = _scatter(windows, np.matmul(a.transpose(0, 2, 1), ds, out=work.array("dvk", vk.shape)))[:, :-1]
         da = np.multiply(_seen(da), _seen(a), out=work.array("weight", pair.shape))
         d_distance = (np.ones(len(windows) * SPAN, z.dtype) @ da.reshape(-1, CONTEXT))[::-1].astype(np.float32)
         dg = np.bincount(pair.ravel(), weights=da.ravel(), minlength=(CLASSES + 2) ** 2).reshape(CLASSES + 2, -1).astype(np.float32)
@@ -195,16 +197,16 @@ class Work:
 
     def array(self, name: str, shape: tuple, dtype=None) -> np.ndarray:
         """The first places of a held array in this shape; zeros when it is new."""
-        size = int(np.prod(shape))
+        size = math.prod(shape)
         if name not in self.held or len(self.held[name]) < size:
             self.held[name] = np.zeros(size, dtype or self.dtype)
         return self.held[name][:size].reshape(shape)
 
 
 def _scatter(cls: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sum of the rows of each class: sorted by class, one product with ones for each."""
+    """Sum of the rows of each class (8 bits): sorted by class, one product with ones for each."""
     cls = cls.ravel()
-    rows = rows.reshape(len(cls), -1).take(np.argsort(cls.astype(np.uint8), kind="stable"), axis=0)  # a radix sort
+    rows = rows.reshape(len(cls), -1).take(np.argsort(cls, kind="stable"), axis=0)  # a radix sort
     count = np.bincount(cls, minlength=CLASSES + 2)
     stop, one = np.cumsum(count), np.ones(int(count.max()), rows.dtype)
     out = np.zeros((CLASSES + 2, rows.shape[1]), rows.dtype)
@@ -225,16 +227,16 @@ def make_windows(cls: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     base = np.cumsum(room) - room
     line = np.full(int(room.sum()), PAD, np.uint8)
     line[base + CONTEXT - 1] = BEGIN
-    text = np.repeat(np.arange(len(size)), size)
-    place = np.arange(len(cls)) - first[text] + base[text] + CONTEXT
+    place = np.arange(len(cls)) + np.repeat(base - first[:-1] + CONTEXT, size)
     line[place] = cls
     token = np.full(len(line), -1, np.int64)
     token[place] = np.arange(len(cls))
     owner = np.repeat(np.arange(len(size)), count)
     at = base[owner] + SPAN * (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count))
-    windows = line[at[:, None] + np.arange(KEYS)]
-    wanted = at[:, None] + CONTEXT + np.arange(SPAN)
-    return windows, line[wanted].ravel(), token[wanted].ravel()
+    if not len(at):
+        return np.zeros((0, KEYS), np.uint8), np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    rows = lambda x, width, at: np.lib.stride_tricks.sliding_window_view(x, width)[at]
+    return rows(line, KEYS, at), rows(line, SPAN, at + CONTEXT).ravel(), rows(token, SPAN, at + CONTEXT).ravel()
 
 
 class Adam:
@@ -282,11 +284,11 @@ def train(texts: DataFrame, cls: np.ndarray, log_class: np.ndarray, rounds: int
                 for _, _, _, c, first in _runs(b.column(0).to_pylist(), cls):
                     w, target, token = make_windows(c, first)
                     order = np.random.default_rng(len(w)).permutation(len(w))
+                    target, told = target.reshape(-1, SPAN), token.reshape(-1, SPAN) >= 0
                     for k in range(0, len(w), BATCH):
                         pick = order[k : k + BATCH]
-                        at = (pick[:, None] * SPAN + np.arange(SPAN)).ravel()
-                        real = token[at] >= 0
-                        goal = np.where(real, target[at], 0)
+                        real = told[pick].ravel()
+                        goal = np.where(real, target[pick].ravel(), 0)
                         _, grad = Model.of(flat, like).gradient(w[pick], goal, real, work)
                         flat = adam.step(flat, grad.flat()).astype(np.float32)
                     tokens += len(c)
@@ -332,10 +334,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for b in batches:
             learn = ~b.column(1).to_numpy(zero_copy_only=False)
             for i, j, data, offsets in textkit.slices(b.column(0)):
-                h, first = textkit.word_hashes(data, offsets)
-                held.append(h[np.repeat(learn[i:j], np.diff(first))])
-                held.append(np.full(int(learn[i:j].sum()), END_WORD))
-                size += len(h)
+                *_, first, code, hashes, _ = textkit.distinct_words(data, offsets)
+                c = np.bincount(code[np.repeat(learn[i:j], np.diff(first))], minlength=len(hashes))
+                held.append((np.append(hashes, END_WORD), np.append(c, learn[i:j].sum())))
+                size += len(hashes)
                 if size > 2_000_000:
                     keys, count = merge(keys, count, held)
                     held, size = [], 0
@@ -347,9 +349,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
             yield rows(keys, count)
 
     def merge(keys, count, held):
-        new, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        both, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
-        return both, np.bincount(back, weights=np.concatenate([count, n]), minlength=len(both)).astype(np.int64)
+        all_keys, all_counts = (np.concatenate(x) for x in zip((keys, count), *held))
+        both, back = np.unique(all_keys[all_counts > 0], return_inverse=True)
+        return both, np.bincount(back, weights=all_counts[all_counts > 0], minlength=len(both)).astype(np.int64)
 
     def rows(keys, count):
         return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(count)], names=["h", "c"])
@@ -369,24 +371,22 @@ def _encoded(docs: DataFrame, head: DataFrame, vocabulary: str, end_id: int) ->
         logs = np.log10(count + 1.0)
         for b in batches:
             for i, j, data, offsets in textkit.slices(b.column(2)):
-                h, first = textkit.word_hashes(data, offsets)
+                found = textkit.distinct_words(data, offsets)
+                *_, first, code, h, _ = found
                 size = np.diff(first)
                 row = np.concatenate([np.repeat(np.arange(j - i), size), np.arange(j - i)])
-                h = np.concatenate([h, np.full(j - i, END_WORD)])
+                code, h = np.concatenate([code, np.full(j - i, len(h))]), np.append(h, END_WORD)
                 at = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1))
-                known = keys[at] == h if len(keys) else np.zeros(len(h), bool)
-                score = np.bincount(row[known], weights=logs[at[known]], minlength=j - i)
+                common_word = keys[at] == h if len(keys) else np.zeros(len(h), bool)
+                known = common_word[code]
+                score = np.bincount(row[known], weights=(logs[at] if len(keys) else np.zeros(len(h)))[code[known]], minlength=j - i)
                 n_known = np.bincount(row[known], minlength=j - i)
-                r, w = row[~known], h[~known]
-                order = np.lexsort((w, r))
-                r, w = r[order], w[order]
-                new = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (w[1:] != w[:-1])])) if len(r) else np.zeros(0, np.int64)
-                times = np.diff(np.append(new, len(r)))
+                rare, times = np.unique(row[~known] * len(h) + code[~known], return_counts=True)
                 lists = pa.ListArray.from_arrays(
-                    pa.array(np.searchsorted(r[new], np.arange(j - i + 1)), pa.int32()),
-                    pa.StructArray.from_arrays([pa.array(w[new].view(np.int64)), pa.array(times, pa.int64())], fields=list(tail.value_type)),
+                    pa.array(np.searchsorted(rare, np.arange(j - i + 1) * len(h)), pa.int32()),
+                    pa.StructArray.from_arrays([pa.array(h[rare % len(h)].view(np.int64)), pa.array(times, pa.int64())], fields=list(tail.value_type)),
                 )
-                ids, at = tokenfile.tokenizer(vocabulary).encode(data, offsets)
+                ids, at = tokenfile.tokenizer(vocabulary).encode_words(data, offsets, found)
                 ids = np.insert(ids, at[1:], end_id).astype("<u2")
                 at = at + np.arange(len(at))
                 yield pa.RecordBatch.from_arrays(
@@ -404,8 +404,8 @@ def _summed(texts: DataFrame, size: int, codes) -> np.ndarray:
     def read(batches):
         total = np.zeros(size, np.int64)
         for b in batches:
-            for _, _, ids, _, first in _runs(b.column(0).to_pylist(), None, 1 << 20):
-                total += np.bincount(codes(ids.astype(np.int64), first), minlength=size)
+            for _, _, ids, _, first in _runs(b.column(0).to_pylist(), None, 1 << 17):
+                np.add.at(total, codes(ids.astype(np.int64), first), 1)  # the table is larger than a run
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], names=["i", "c"])
 
@@ -420,6 +420,13 @@ def id_counts(texts: DataFrame, size: int) -> np.ndarray:
     return _summed(texts, size, lambda ids, first: ids)
 
 
+def _inner(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Whether each id but the run's first is of the same text as the one before."""
+    inner = np.ones(len(ids), bool)
+    inner[first[:-1][first[:-1] < len(ids)]] = False
+    return inner[1:]
+
+
 def neighbour_counts(texts: DataFrame, counts: np.ndarray) -> np.ndarray:
     """For each id how often each of the MARKS most frequent ids, or any other, stands before and after it in a text."""
     size, width = len(counts), MARKS + 1
@@ -428,11 +435,8 @@ def neighbour_counts(texts: DataFrame, counts: np.ndarray) -> np.ndarray:
     mark[top] = np.arange(len(top))
 
     def pairs(ids, first):
-        apart = np.ones(len(ids), bool)
-        apart[first[:-1][first[:-1] < len(ids)]] = False
-        at = np.flatnonzero(apart)
-        m = mark[ids]
-        return np.concatenate([ids[at] * 2 * width + m[at - 1], ids[at - 1] * 2 * width + width + m[at]])
+        m, own, inner = mark[ids], ids * (2 * width), _inner(ids, first)
+        return np.concatenate([(own[1:] + m[:-1])[inner], (own[:-1] + m[1:] + width)[inner]])
 
     return _summed(texts, size * 2 * width, pairs).reshape(size, -1).astype(float)
 
@@ -441,10 +445,7 @@ def class_neighbours(texts: DataFrame, cls: np.ndarray) -> np.ndarray:
     """How often each id follows each class in a text."""
 
     def pairs(ids, first):
-        apart = np.ones(len(ids), bool)
-        apart[first[:-1][first[:-1] < len(ids)]] = False
-        at = np.flatnonzero(apart)
-        return ids[at] * CLASSES + cls[ids[at - 1]]
+        return (ids[1:] * CLASSES + cls[ids[:-1]])[_inner(ids, first)]
 
     return _summed(texts, len(cls) * CLASSES, pairs).reshape(-1, CLASSES).astype(float)
 

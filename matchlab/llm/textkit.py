@@ -9,9 +9,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 SLICE = 2 << 20
+#: Bytes that are hashed together, so that their sums stay in a core's cache.
+PART = 1 << 16
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -98,7 +101,7 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     i = 0
     while i < len(starts):
         base = int(starts[i])
-        j = max(i + 1, int(np.searchsorted(ends, base + SLICE, "right")))
+        j = max(i + 1, int(np.searchsorted(ends, base + PART, "right")))
         stop = int(ends[j - 1])
         up, down = _power_tables(stop - base + 1)
         sums = np.empty(stop - base + 1, np.uint64)
@@ -118,6 +121,16 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = B
     return hash_spans(data, starts, ends), first
 
 
+def distinct_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Words of the lower-cased bytes by code: those bytes, starts, ends, the index of each row's first word, the code of each word, and the hash and one place of each code."""
+    low = LOWER[data]
+    starts, ends, first = words(low, offsets)
+    code, hashes = pd.factorize(hash_spans(low, starts, ends))
+    where = np.empty(len(hashes), np.int64)
+    where[code] = np.arange(len(code))
+    return low, starts, ends, first, code, hashes, where
+
+
 def windows(hashes: np.ndarray, pattern: tuple[int, ...]) -> np.ndarray:
     """A hash of the words at the given places of each window; a window starts at every word that has room."""
     n = len(hashes) - pattern[-1]

@@ -18,22 +18,50 @@ from matchlab.llm.storage import filesystem, put, shared_folder, store
 #: A character with an id of its own that stands after each piece of a line, and pieces of a line; a call of the library costs more than a short piece.
 MARK, LINE = "\x01", 64
 
-#: Pieces are also cut between ASCII letters or digits and these, where the tokenizer does so itself.
-STOPS = ".,;:!?"
+#: Pieces are also cut between letters (ASCII, Latin-1) or ASCII digits and these, where the tokenizer does so itself.
+STOPS = ".,;:!?#*$%&"
 _KIND = np.zeros(256, np.uint8)
 _KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
 _KIND[list(STOPS.encode())] = 2
+#: Second bytes after 0xC3 that make a letter.
+_LATIN = np.zeros(256, bool)
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+#: Letters that lower-casing and composing leave apart from each other, so that a piece of them is one run of letters.
+LETTERS = "".join(c for c in map(chr, range(0x41, 0x100)) if c.isalpha() and c not in "ªµº")
+_LOW = np.zeros(256, bool)
+_LOW[97:123] = True
 
 _tokenizers: dict[str, "PieceTokenizer"] = {}
 
 
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to a letter of Latin-1 beyond ASCII."""
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[_LATIN[data[lead + 1]]]
+    out = np.zeros(len(data), bool)
+    out[lead] = out[lead + 1] = True
+    return out
+
+
+def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, tail: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the spans end to end, `tail` after each, and where each ends."""
+    size = ends - starts + len(tail)
+    stop = np.cumsum(size)
+    out = data[np.minimum(np.arange(stop[-1]) + np.repeat(starts - (stop - size), size), len(data) - 1)]
+    for k, x in enumerate(tail):
+        out[stop - len(tail) + k] = x
+    return out, stop
+
+
 class PieceTokenizer:
     """Ids of texts by a tokenizer that drops white space between pieces, each distinct piece encoded once.
 
     Texts are cut at bytes of white space, and between letters and stops where the tokenizer always splits there; a piece
     then gets what the library gives for it, so the ids of a text are those of the library for the whole text. That holds
     for tokenizers whose normaliser and splitting never look across white space and drop it (a test compares both). Where
-    the normaliser lower-cases, pieces are lower-cased first. The memory of pieces is bounded and only saves time.
+    the normaliser lower-cases, pieces are lower-cased first. Pieces of LETTERS alone, which normaliser and splitting leave
+    whole, go to the library's model without them. The memory of pieces is bounded and only saves time.
     """
 
     def __init__(self, path: str, remember: int = 1_500_000):
@@ -47,8 +75,24 @@ class PieceTokenizer:
         self.mark = mark[0] if len(mark) == 1 and ids(f"a {MARK} a") == a + mark + a else None
         self.added = [x.content.lower().encode() for x in self.library.get_added_tokens_decoder().values()]
         self.lowers = self.library.normalizer is not None and self.library.normalizer.normalize_str("AMZ") == "amz"
-        self.cuts = not any(c in x.decode() for x in self.added for c in STOPS) and all(ids(f"ab{c}1{c}b") == ids("ab") + ids(c) + ids("1") + ids(c) + ids("b") for c in STOPS)
+        self.cuts = not any(c in x.decode() for x in self.added for c in STOPS) and all(ids(f"ab{c}1{c}é{c}b") == ids("ab") + ids(c) + ids("1") + ids(c) + ids("é") + ids(c) + ids("b") for c in STOPS)
+        self.plain = self._plain(Tokenizer.from_file(path))
         self.forget()
+        self.words = self.no_words()
+
+    def _plain(self, library):
+        """The library without its normaliser and splitting, and how LETTERS and MARK are spelled for it; None where that is not the same."""
+        from tokenizers import pre_tokenizers
+
+        if self.mark is None or not self.lowers or self.library.pre_tokenizer is None or any(set(x.decode()) <= set(LETTERS) for x in self.added):
+            return None
+        spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        spell = {ord(c): spelled(c.lower())[0][0] for c in LETTERS + MARK}
+        library.normalizer, library.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        low = self.library.normalizer.normalize_str(LETTERS)
+        whole = [x for x, _ in self.library.pre_tokenizer.pre_tokenize_str(low)] == [LETTERS.translate(spell)]
+        same = library.encode(f"{LETTERS} {MARK} a".translate(spell), add_special_tokens=False).ids == self.library.encode(f"{LETTERS} {MARK} a", add_special_tokens=False).ids
+        return (library, spell) if low == LETTERS.lower() and whole and same else None
 
     def forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
@@ -57,24 +101,35 @@ class PieceTokenizer:
         self.flat = np.zeros(0, np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32)
 
     def _learn(self, data: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        raw = data.tobytes()
-        pieces = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts.tolist(), ends.tolist())]
-        alone = np.array([self.mark is None or MARK in x for x in pieces], bool)
-        order = np.argsort(alone, kind="stable")
-        joined, flat, counts = len(pieces) - int(alone.sum()), [self.flat], []
-        for k in range(0, joined, LINE * LINE):
-            part = [pieces[i] for i in order[k : min(joined, k + LINE * LINE)]]
-            lines = [f" {MARK} ".join([*part[i : i + LINE], ""]) for i in range(0, len(part), LINE)]
-            ids = np.concatenate([np.array(x.ids, np.int64) for x in self.library.encode_batch_fast(lines, add_special_tokens=False)])
-            stop = np.flatnonzero(ids == self.mark)
-            counts.append(np.diff(stop, prepend=-1) - 1)
-            flat.append(np.delete(ids, stop).astype(self.flat.dtype))
-        for k in range(joined, len(pieces), LINE * LINE):
-            ids = [x.ids for x in self.library.encode_batch_fast([pieces[i] for i in order[k : k + LINE * LINE]], add_special_tokens=False)]
+        inside = lambda x: (lambda t: t[ends] - t[starts])(np.concatenate([[0], np.cumsum(x, dtype=np.int32)]))
+        way = np.full(len(keys), 2 if self.mark is not None else 3, np.int8)  # plain as it is, plain but spelled otherwise, between marks, alone
+        if self.plain:
+            high = _letters(data)
+            way[inside(~(high | _LOW[data])) == 0] = 1
+            way[inside(~_LOW[data]) == 0] = 0
+        way[inside(data == ord(MARK)) > 0] = 3
+        order, stops = np.argsort(way, kind="stable"), np.cumsum(np.bincount(way, minlength=4))
+        library, spell = self.plain or (None, {ord(MARK): MARK})
+        flat, counts = [self.flat], []
+        for at, to, library, spelled in ((0, stops[0], library, lambda x: x.replace(MARK, spell[ord(MARK)])), (stops[0], stops[1], library, lambda x: x.translate(spell)), (stops[1], stops[2], self.library, str)):
+            for k in range(at, to, LINE * LINE):
+                part = order[k : min(to, k + LINE * LINE)]
+                text, stop = spans(data, starts[part], ends[part], f" {MARK} ".encode())
+                text[stop[LINE - 1 : -1 : LINE] - 1] = 0x0A
+                lines = [spelled(x) for x in text.tobytes().decode("utf-8", "replace").split("\n")]
+                ids = np.concatenate([np.array(x.ids, np.int64) for x in library.encode_batch_fast(lines, add_special_tokens=False)])
+                stop = np.flatnonzero(ids == self.mark)
+                counts.append(np.diff(stop, prepend=-1) - 1)
+                flat.append(np.delete(ids, stop).astype(self.flat.dtype))
+        raw = data.tobytes() if stops[2] < len(keys) else b""
+        for k in range(stops[2], len(keys), LINE * LINE):
+            part = order[k : k + LINE * LINE]
+            pieces = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts[part].tolist(), ends[part].tolist())]
+            ids = [x.ids for x in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
             counts.append(np.fromiter(map(len, ids), np.int64, len(ids)))
             flat.append(np.fromiter((i for x in ids for i in x), self.flat.dtype, int(counts[-1].sum())))
-        count, place = np.concatenate(counts), np.empty(len(pieces), np.int64)
-        place[order] = np.arange(len(self.first) - 1, len(self.first) - 1 + len(pieces))
+        count, place = np.concatenate(counts), np.empty(len(keys), np.int64)
+        place[order] = np.arange(len(self.first) - 1, len(self.first) - 1 + len(keys))
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(count)])
         self.flat = np.concatenate(flat)
         at = np.searchsorted(self.keys, keys)
@@ -86,8 +141,11 @@ class PieceTokenizer:
         if not self.cuts or not len(starts):
             return starts, ends, first
         kind = _KIND[data]
+        kind[_letters(data)] = 1
         new = np.flatnonzero(kind[1:] ^ kind[:-1] == 3) + 1
-        new = new[np.isin(new, offsets, invert=True)]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        new = new[~edge[new]]
         starts, ends = np.sort(np.concatenate([starts, new])), np.sort(np.concatenate([ends, new]))
         return starts, ends, np.searchsorted(starts, offsets)
 
@@ -116,6 +174,39 @@ class PieceTokenizer:
         index = np.arange(total) + np.repeat(self.first[place] - (stop - count), count)
         return self.flat[index], np.concatenate([[0], stop])[first]
 
+    def encode_words(self, data: np.ndarray, offsets: np.ndarray, found: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """What encode gives, from textkit.distinct_words: each distinct word is cut into pieces once, and remembered like a piece."""
+        low, starts, ends, first, code, hashes, where = found
+        raw = low.tobytes()
+        if not self.lowers or not len(where) or any(x in raw for x in self.added):
+            return self.encode(data, offsets)
+        order = np.argsort(hashes)
+        keys = hashes[order]
+        held, place, begin, flat = self.words
+        at = np.minimum(np.searchsorted(held, keys), max(0, len(held) - 1))
+        known = held[at] == keys if len(held) else np.zeros(len(keys), bool)
+        if not known.all():
+            if len(held) > self.remember:
+                held, place, begin, flat = self.no_words()
+                known[:] = False
+            new = where[order[~known]]
+            text, stop = spans(low, starts[new], ends[new], b" ")
+            ids, to = self.encode(text, np.concatenate([[0], stop]))
+            at = np.searchsorted(held, keys[~known])
+            held, place = np.insert(held, at, keys[~known]), np.insert(place, at, np.arange(len(begin) - 1, len(begin) - 1 + len(new)))
+            begin, flat = np.concatenate([begin, begin[-1] + to[1:]]), np.concatenate([flat, ids])
+            self.words = held, place, begin, flat
+            at = np.searchsorted(held, keys)
+        of = np.empty(len(keys), np.int64)
+        of[order] = place[at]
+        size = (begin[of + 1] - begin[of])[code]
+        stop = np.cumsum(size)
+        return flat[np.arange(stop[-1]) + np.repeat(begin[of][code] - (stop - size), size)], np.concatenate([[0], stop])[first]
+
+    def no_words(self) -> tuple[np.ndarray, ...]:
+        """No words yet: hashes in order, the place of each, where the ids of each place begin, and the ids."""
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, self.flat.dtype)
+
 
 def tokenizer(path: str) -> PieceTokenizer:
     """One per Python worker and file."""

@@ -39,6 +39,40 @@ def test_pieces_equal_the_library(texts):
         assert got == want
 
 
+LATIN = ["Straße, ÉTÉ.été ß$$$ é&É%x", "naïve#café ×é÷ ªº µm é\u0301.a", "'s&'re don't&x 's#t 50%é", "é<|ENDOFTEXT|>É", "<\u0338a é", "a\xadb ÿÞ", "ß" * 70_000 + " b"]
+
+
+def test_distinct_words_equal_the_library(texts):
+    from matchlab.llm import textkit
+
+    texts = LATIN + texts
+    want = [x.ids for x in Tokenizer.from_file(VOCABULARY).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for remember in (1_500_000, 10):
+        own = tokenfile.PieceTokenizer(VOCABULARY, remember)
+        assert own.plain and own.cuts
+        for _ in range(2):
+            got = []
+            for _, _, data, offsets in textkit.slices(pa.array(texts, pa.string()), limit=20_000):
+                ids, first = own.encode_words(data, offsets, textkit.distinct_words(data, offsets))
+                got += [ids[s:e].tolist() for s, e in zip(first[:-1], first[1:])]
+            assert got == want
+    assert tokenfile.PieceTokenizer(public_tokenizers.path("byte_bpe_50k.json")).plain is None
+
+
+def test_known_words_are_not_encoded_again(monkeypatch):
+    from matchlab.llm import textkit
+
+    own, seen = tokenfile.PieceTokenizer(VOCABULARY), []
+    encode = tokenfile.PieceTokenizer.encode
+    monkeypatch.setattr(tokenfile.PieceTokenizer, "encode", lambda self, data, offsets: seen.append(len(offsets) - 1) or encode(self, data, offsets))
+    monkeypatch.setattr(own, "library", None)  # words of letters need no normaliser and no splitting
+    for text in ("Tea tea café tea.", "tea. CAFé Tea", "tea milk"):
+        data = np.frombuffer(text.replace(".", "").encode(), np.uint8)
+        offsets = np.array([0, len(data)])
+        own.encode_words(data, offsets, textkit.distinct_words(data, offsets))
+    assert seen == [2, 1]
+
+
 @pytest.mark.parametrize("length", [8, 1024])
 def test_token_files_round_trip(spark, texts, length):
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (None, "no id")]

@@ -198,6 +198,21 @@ def test_scores(frame, documents, monkeypatch):
     assert lm.lm_scores(frame.limit(0), VOCABULARY, 49407, out).count() == 0
 
 
+def test_neighbours(spark):
+    rnd = np.random.default_rng(5)
+    texts = [rnd.integers(0, 90, n).astype("<u2") for n in (0, 1, 2, 700, 0, 40)]
+    rows = spark.createDataFrame([(bytearray(x.tobytes()),) for x in texts], "ids binary").repartition(2)
+    counts, cls = np.arange(90)[::-1].copy(), rnd.integers(0, lm.CLASSES, 90).astype(np.uint8)
+    near, after = np.zeros((90, 2 * lm.MARKS + 2)), np.zeros((90, lm.CLASSES))
+    for x in texts:
+        for a, b in zip(x[:-1].tolist(), x[1:].tolist()):  # the most frequent ids are the smallest
+            near[b, min(a, lm.MARKS)] += 1
+            near[a, lm.MARKS + 1 + min(b, lm.MARKS)] += 1
+            after[b, cls[a]] += 1
+    assert (lm.neighbour_counts(rows, counts) == near).all() and (lm.class_neighbours(rows, cls) == after).all()
+    assert (lm.id_counts(rows, 90) == np.bincount(np.concatenate(texts), minlength=90)).all()
+
+
 def test_windows_score_each_token_once():
     rnd = np.random.default_rng(0)
     for sizes in ([1], [16, 17, 0, 5], [100, 0, 0, 33], [0]):
