@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from matchlab.operators.frame import DIFF_FEATURES, PREDICTORS, join_team_featur
 from matchlab.operators.keyed import first_per_key
 from matchlab.operators.metrics import devig
 from matchlab.operators.teams import attach_ladder, attach_prior_ladder, pair_matches, rest_days, unpivot_sides
+from suite import queries
 
 
 def test_the_frame_has_36_predictors():
@@ -145,3 +148,12 @@ def test_spread_is_judged_once_per_group(spark):
     got = sorted((r.g, r.x, r.y) for r in out.collect() if r.g == "a")
     assert [g[1] for g in got] == pytest.approx([-0.70710678, 0.70710678]) and [g[2] for g in got] == [None, None]
     assert all(r.x is None and r.y is None for r in out.collect() if r.g != "a")
+
+
+def test_the_frame_deals_its_players_by_match_once(spark, sf):
+    """Statistics and scaled rows share one exchange; roll-up, features and pivot find their rows by match in place."""
+    out = queries.build_frame(spark, sf)
+    assert out.count() == len(out.collect())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
+    assert not re.search(r"Exchange hashpartitioning\(match_id#\d+L?, team_key#", plan)

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from matchlab.operators import ordered
 from matchlab.operators.ordered import ewma_width, lag_values, lagged_ewma, number_rows, split_hot
 
 ORDER = ["t", "id"]
@@ -148,3 +149,17 @@ def test_past_of_cold_keys_goes_on_from_batch_to_batch(spark):
     for col, at in ((3, 0), (4, 1)):
         for i, w in reference(data, 0.9, "poison", col).items():
             assert (got[i][at] is None) == (w is None) and (w is None or math.isclose(got[i][at], w, rel_tol=1e-11))
+
+
+def test_hot_rows_are_gone_through_where_they_are_stored(spark):
+    """Over several range partitions and gaps: the sequence, without an exchange after the one that sorts."""
+    data = [(k, i, None if (k, i) == (1, 70) else float((i * 37 + k) % 11)) for k in (1, 2, 3) for i in range(100 if k < 3 else 1)]
+    df = spark.createDataFrame(data, "k long, i long, x double").repartition(5)
+    out = ordered._ewma_hot(df, ["k"], ["i"], ["x"], 0.94, 7, "poison").select("k", "i", F.col("_s_x").alias("x"))
+    assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    got, state, gone = {(r.k, r.i): r.x for r in out.collect()}, {}, set()
+    for k, i, x in data:
+        want = None if k in gone else state.get(k)
+        assert got[k, i] == (None if want is None else pytest.approx(want, rel=1e-12))
+        gone |= {k} if x is None else set()
+        state[k] = x if k not in state else 0.94 * state[k] + 0.06 * (x or 0.0)
