@@ -20,11 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlab.operators.ordered import null_safe_join
-from matchlab.session import bounded_broadcast, cut
+from matchlab.session import cut
 
-MAX_KEYS = 1_000_000  # keys of an extract that may be broadcast against the stored partitions
-MAX_FILES = 1_000_000  # source files of an extract whose numbers may be broadcast
 NO_PART = "__HIVE_DEFAULT_PARTITION__"
 
 #: Where a row comes from: it decides which of several rows of a key is the latest.
@@ -57,22 +54,14 @@ def with_source(df: DataFrame, at: Column, name: str = "", place: Column | None
 def latest_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The last row of each key by _at, _from and _place, without _place; rows of one place are settled by a hash of their values.
 
-    Sources are numbered and a file's blocks packed behind the number (up to 8 million files of a terabyte), so the latest
-    place of a key is a plain maximum (hash aggregation, partial per map task). Only then are the rows fetched, by key
-    and place together, which spreads a hot key.
+    The rows are read and dealt by key once. Spark keeps the first row of a rank per task before it deals them, so a hot key costs one
+    row per task.
     """
-    order = Window.orderBy("_at", "_from")  # one row per source file
-    files = cut(df.select("_at", "_from").distinct().withColumn("_file", F.row_number().over(order).cast("long")))
-    rows = null_safe_join(df, bounded_broadcast(files, MAX_FILES), ["_at", "_from"], "inner")
     scanned = isinstance(df.schema["_place"].dataType, T.StructType)  # block of the file, row: unique
-    block, row = (F.col("_place.block"), F.col("_place.row")) if scanned else (F.lit(0), F.col("_place").cast("long"))
-    rows = cut(rows.withColumns({"_o1": F.shiftleft("_file", 40) + block, "_o2": row}).drop("_file", "_place"))
-    for o in ("_o1", "_o2") if scanned else ("_o1", "_o2", "_o3"):
-        if o == "_o3":
-            rows = rows.withColumn(o, F.xxhash64(*[c for c in rows.columns if c not in keys]))
-        rows = null_safe_join(rows, rows.groupBy(*keys).agg(F.max(o).alias(o)), [*keys, o], "left_semi")
-    rows = rows.drop("_o1", "_o2", "_o3")
-    return rows if scanned else rows.distinct()
+    values = [c for c in df.columns if c not in (*keys, "_place")]
+    places = [F.col("_place")] if scanned else [F.col("_place").cast("long"), F.xxhash64(*values)]
+    last = Window.partitionBy(*keys).orderBy(*[o.desc() for o in (F.col("_at"), F.col("_from"), *places)])
+    return df.withColumn("_turn", F.row_number().over(last)).filter("_turn = 1").drop("_turn", "_place")
 
 
 # ---------------------------------------------------------------- versions
@@ -139,7 +128,7 @@ def merge(spark: SparkSession, table: str, schema: T.StructType, new: DataFrame,
     `part` (None: the table is one partition) must be a function of the keys: only the partitions in the extract are read and written. If another writer
     publishes first, the merge is done again on its version. An empty extract publishes nothing. Null keys are keys.
     """
-    once = cut(latest_per_key(cut(new.select(*schema.names, "_at", "_from", "_place")), keys))
+    once = cut(latest_per_key(new.select(*schema.names, "_at", "_from", "_place"), keys))
     touched = [r[0] for r in once.select(_part(part)).distinct().collect()]  # partitions, not rows
     for _ in range(attempts):
         version = max(versions(spark, table), default=0)
@@ -155,20 +144,23 @@ def merge(spark: SparkSession, table: str, schema: T.StructType, new: DataFrame,
 def _commit(spark, table, schema, once, keys, part, touched, version) -> int:
     listed = _listed(spark, table, version)
     stored = read(spark, table, schema, version, touched, source=True)
-    winners = once
-    if any(p in listed for p in touched):
-        offered = once.select(*keys, F.struct("_at", "_from").alias("_new"))
-        later = null_safe_join(stored.select(*keys, F.struct("_at", "_from").alias("_old")), bounded_broadcast(offered, MAX_KEYS), keys, "inner")
-        stale = cut(later.where("_old > _new").select(*keys))
-        winners = cut(null_safe_join(once, bounded_broadcast(stale, MAX_KEYS), keys, "left_anti"))
-    kept = null_safe_join(stored, bounded_broadcast(winners.select(*keys), MAX_KEYS), keys, "left_anti")
-    return _write(spark, table, kept.unionByName(winners), keys[:1], part, listed, version)
-
-
-def _write(spark, table, rows, spread, part, listed, version) -> int:
+    rows = once.withColumn("_part", _part(part))
+    if not any(p in listed for p in touched):
+        return _write(spark, table, rows.repartition("_part", *keys[:1]), listed, version)
+    # Stored and new rows of a key are dealt to the place they are written from, and settled there.
+    rows = rows.withColumn("_new", F.lit(True)).unionByName(stored.withColumns({"_part": _part(part), "_new": F.lit(False)}))
+    of_key, source = Window.partitionBy("_part", *keys), F.struct("_at", "_from")
+    rows = rows.repartition("_part", *keys[:1]).withColumns(
+        {"_offered": F.max(F.when(F.col("_new"), source)).over(of_key), "_held": F.max(F.when(~F.col("_new"), source)).over(of_key)}
+    )
+    stays = F.col("_offered").isNull() | F.coalesce(F.col("_held") > F.col("_offered"), F.lit(False))
+    return _write(spark, table, rows.filter(F.col("_new") != stays).drop("_new", "_offered", "_held"), listed, version)
+
+
+def _write(spark, table, rows, listed, version) -> int:
+    """Rows with their _part, dealt by it, into a folder of their own."""
     folder = f"{table}/data/{version + 1:010d}-{uuid.uuid4().hex}"
-    rows = rows.withColumn("_part", _part(part))
-    rows.repartition("_part", *spread).write.partitionBy("_part").parquet(folder)
+    rows.write.partitionBy("_part").parquet(folder)
     for name in _names(spark, folder):
         if name.startswith("_part="):
             value = unquote(name[len("_part=") :])
@@ -187,7 +179,7 @@ def replace(spark: SparkSession, table: str, schema: T.StructType, rows: DataFra
         version = max(versions(spark, table), default=0)
         listed = {p: f for p, f in _listed(spark, table, version).items() if keep(p)}
         try:
-            return _write(spark, table, rows, spread, part, listed, version)
+            return _write(spark, table, rows.withColumn("_part", _part(part)).repartition("_part", *spread), listed, version)
         except Conflict:
             continue
     raise Conflict(f"{table}: {attempts} other writers were faster")

@@ -155,3 +155,23 @@ def test_extracts_read_their_matches_once(spark, sf, monkeypatch):
     monkeypatch.setattr(commerce, "team_match", lambda *_: tm.mapInArrow(counted, tm.schema))
     path, schema = queries._versioned(spark, sf)
     assert V.read(spark, path, schema).count() == read.value == tm.count()
+
+
+def test_rows_are_dealt_by_key_once_and_stored_once(spark, tmp_path, monkeypatch):
+    df = batch(spark, [(1, 2020, float(x), x) for x in range(20)], "2024-01-01")
+    plan = V.latest_per_key(df, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("WindowGroupLimit") == 2  # a hot key is cut down before it is dealt
+    cuts, cut = [], V.cut
+    monkeypatch.setattr(V, "cut", lambda df: cuts.append(df) or cut(df))
+    for at in ("2024-01-01", "2024-01-02"):
+        V.merge(spark, str(tmp_path / "t"), SCHEMA, batch(spark, [(1, 2020, 1.0, 1), (2, 2020, 2.0, 1)], at), ["id"])
+    assert len(cuts) == 2
+
+
+def test_stored_rows_outside_the_extract_stay_as_they_are(spark, tmp_path):
+    table = str(tmp_path / "t")
+    twice = spark.createDataFrame([(1, 2020, 1.0), (2, 2020, 2.0), (2, 2020, 3.0), (3, 2020, 4.0)], SCHEMA)
+    V.replace(spark, table, SCHEMA, V.with_source(twice, F.lit("2024-01-02")), "season")
+    V.merge(spark, table, SCHEMA, batch(spark, [(1, 2020, 9.0, 1), (4, 2020, 8.0, 1)], "2024-01-01"), ["id"])  # 1 is stored from later
+    V.merge(spark, table, SCHEMA, batch(spark, [(3, 2020, 7.0, 1)], "2024-01-02"), ["id"])
+    assert rows(spark, table) == [(1, 2020, 1.0), (2, 2020, 2.0), (2, 2020, 3.0), (3, 2020, 7.0), (4, 2020, 8.0)]
