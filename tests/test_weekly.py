@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlab.functions.fixed_values import PLAYER_STATS, TEAM_STATS
+from matchlab.operators import form
 from matchlab.operators import model as M
+from matchlab.plans import weekly
 from matchlab.plans.weekly import run_week, stored
 from matchlab.sources import versions
 from matchlab.sources.schemas import SCHEMAS
 from matchlab.streaming.ingest import stream_upsert
+from suite import queries
 
 TEAMS = ["North Sharks", "Old Wests Tigers", "Far Storm", "Big Eels"]
 
@@ -132,3 +135,14 @@ def test_pick_rule_is_the_likelier_side():
     for pred_a, away, home, pick in week:
         assert pick == (home if 1 - pred_a > pred_a else away)
     assert pytest.approx(0.454372942447662) == 1 - week[0][0]
+
+
+def test_the_weekly_query_stores_its_lineup_and_no_player_rows(spark, sf, monkeypatch):
+    def stored(_):
+        raise AssertionError("player rows are stored")
+
+    resolve, plans = weekly.resolve_lineup, []
+    monkeypatch.setattr(form, "cut", stored)
+    monkeypatch.setattr(weekly, "resolve_lineup", lambda lineup, *a: plans.append(lineup._jdf.queryExecution().executedPlan().toString()) or resolve(lineup, *a))
+    queries.weekly_ratings(spark, sf)
+    assert len(plans) == 1 and "Exchange" not in plans[0]
